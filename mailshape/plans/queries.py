@@ -74,9 +74,11 @@ def enron_mapping(spark: SparkSession, folder: str) -> DataFrame:
     mails = tables.documents_as_mail(tables.table(spark, folder, "documents"))
     labels = tables.table(spark, folder, "labels").withColumnRenamed("doc_id", "mail_id")
     label = F.when(F.col("toxic") == 1, "unsure").when(F.col("quality") == 0, "Spam").otherwise("HAM")
-    return csv_mail.to_mail_frame(mails.join(labels, "mail_id").select(
+    mapped = csv_mail.to_mail_frame(mails.join(labels, "mail_id").select(
         "mail_id", F.col("subject").alias("Subject"), F.col("body").alias("Message"),
         label.alias("Spam/Ham"), F.lit("7").alias("Unnamed: 0")))
+    # Unmapped labels are null; -1 shows them as a plain integer.
+    return mapped.fillna(-1, ["label"])
 
 
 def trec_mapping(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,7 +194,7 @@ def top_terms(spark: SparkSession, folder: str) -> DataFrame:
 # -- vectors --------------------------------------------------------------------------------------
 
 def _terms(spark: SparkSession, folder: str, ngram_range: tuple[int, int]) -> DataFrame:
-    stages = Pipeline(stages=vectorize.term_stages(ngram_range))
+    stages = Pipeline(stages=vectorize.term_stages(ngram_range, profile.COMMON_WORDS))
     df = prepared_all(spark, folder).select("mail_id", "text")
     return stages.fit(df).transform(df)
 
@@ -208,7 +210,8 @@ def vocab_bigram(spark: SparkSession, folder: str) -> DataFrame:
 def _matrix(spark: SparkSession, folder: str, vectorizer_type: str,
             ngram_range: tuple[int, int]) -> DataFrame:
     df = prepared_all(spark, folder).select("mail_id", "text")
-    model = Pipeline(stages=vectorize.text_stages(vectorizer_type, ngram_range)).fit(df)
+    model = Pipeline(stages=vectorize.text_stages(
+        vectorizer_type, ngram_range, profile.COMMON_WORDS)).fit(df)
     vocabulary = next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
     return rounded(vectorize.matrix_cells(model.transform(df), "text_features", vocabulary))
 
