@@ -25,11 +25,15 @@ def with_structural_features(df: DataFrame, subject: str = "raw_subject", body:
     derives the features, so that no regex is evaluated twice for one mail.
     """
     subject_col, body_col, sender_col = F.col(subject), F.col(body), F.col(sender)
-    joined = df.withColumn("_joined", T.strip_white(F.concat(subject_col, F.lit(" "), body_col)))
+    joined = df.withColumns({
+        "_joined": T.blanked(F.concat(subject_col, F.lit(" "), body_col)),
+        "_subject_tokens": T.token_count(subject_col),
+        "_body_tokens": T.token_count(body_col),
+    })
     whole = F.col("_joined")
     counted = joined.withColumns({
         "_length": F.length(whole),
-        "_tokens": T.token_count(whole),
+        "_tokens": F.col("_subject_tokens") + F.col("_body_tokens"),
         "_letters": T.letter_count(whole),
         "_urls": T.occurrences_of_url(whole),
         "_lower_body": F.lower(body_col),
@@ -51,8 +55,8 @@ def with_structural_features(df: DataFrame, subject: str = "raw_subject", body:
         "subject_char_count": F.length(subject_col),
         "body_char_count": F.length(body_col),
         "sender_char_count": sender_length,
-        "subject_word_count": T.token_count(subject_col),
-        "body_word_count": T.token_count(body_col),
+        "subject_word_count": F.col("_subject_tokens"),
+        "body_word_count": F.col("_body_tokens"),
         "text_word_count": tokens,
         "sender_word_count": T.token_count(sender_col),
         "sender_has_email": sender_col.rlike(T.EMAIL_PATTERN),

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from mailshape.functions.chars import DIGIT, PUNCTUATION, WHITE
+from mailshape.functions.chars import (
+    DIGIT_LIKE_CHARACTERS, PUNCTUATION, WHITE, WHITE_CHARACTERS,
+)
 
-# Fixed patterns of the cleaning step, applied in this order.
+# Fixed patterns of the cleaning step, applied in this order. A class of ranges is many times slower
+# in Java's regex engine than a named or spelled-out one; without further flags ``Alnum`` is ASCII.
 TAG_PATTERN = r"<[^>]+>"
 CLEAN_URL_PATTERN = rf"http[^{WHITE}]+|www\.[^{WHITE}]+"
-KEPT_CHARACTERS = "a-zA-Z0-9!?.,"
+DROPPED_PATTERN = r"[^\p{Alnum}!?.,]+"
 
 # Fixed pattern of the URL feature. It ignores case and wants "://", unlike the cleaning step.
 FEATURE_URL_PATTERN = rf"(?i)https?://[^{WHITE}]+|www\.[^{WHITE}]+"
@@ -18,28 +21,36 @@ FEATURE_URL_PATTERN = rf"(?i)https?://[^{WHITE}]+|www\.[^{WHITE}]+"
 # test, and it keeps the regex engine from backtracking over long runs.
 EMAIL_PATTERN = r"[\p{L}\p{N}_.-]@[\p{L}\p{N}_.-]+[.][\p{L}\p{N}_]"
 
-# A white-space token of two or more characters with an upper-case and no lower- or title-case one.
+# In blanked text: a token of two or more characters with an upper-case and no lower- or title-case one.
 CAPS_TOKEN_PATTERN = (
-    rf"(?<![^{WHITE}])(?=[^{WHITE}]*?\p{{IsUppercase}})"
-    rf"[^{WHITE}\p{{IsLowercase}}\p{{Lt}}]{{2,}}+(?![^{WHITE}])"
+    r"(?<![^ ])(?=[^ ]*?\p{IsUppercase})[^ a-z\p{IsLowercase}\p{Lt}]{2,}+(?![^ ])"
 )
 
 HTML_MARKERS = ("content type text html", "text/html")
 
 
-def strip_white(text: Column) -> Column:
-    """Remove white space at both ends (``trim`` alone removes only U+0020)."""
-    return F.regexp_replace(text, rf"^[{WHITE}]+|[{WHITE}]+$", "")
+def blanked(text: Column) -> Column:
+    """Every white-space character as a plain blank, one for one, and none at the ends.
+
+    Counts of tokens and of anything but white space are the same on this form, and the cheap native
+    ``trim`` and single-character patterns suffice for it.
+    """
+    return F.trim(F.translate(text, WHITE_CHARACTERS, " " * len(WHITE_CHARACTERS)))
 
 
 def is_blank(text: Column) -> Column:
     """True for null, empty and white-space-only text."""
-    return ~F.coalesce(text, F.lit("")).rlike(rf"[^{WHITE}]")
+    return blanked(F.coalesce(text, F.lit(""))) == ""
+
+
+def blanked_token_count(text: Column) -> Column:
+    """Number of tokens of text in the form of :func:`blanked`."""
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, " +")))
 
 
 def token_count(text: Column) -> Column:
     """Number of white-space separated tokens."""
-    return F.regexp_count(text, F.lit(rf"[^{WHITE}]+"))
+    return blanked_token_count(blanked(text))
 
 
 def clean_characters(text: Column) -> Column:
@@ -50,7 +61,7 @@ def clean_characters(text: Column) -> Column:
     """
     untagged = F.regexp_replace(F.coalesce(text, F.lit("")), TAG_PATTERN, " ")
     marked = F.regexp_replace(untagged, CLEAN_URL_PATTERN, " URL ")
-    return F.lower(F.trim(F.regexp_replace(marked, rf"[^{KEPT_CHARACTERS}]+", " ")))
+    return F.lower(F.trim(F.regexp_replace(marked, DROPPED_PATTERN, " ")))
 
 
 def cleaned_tokens(cleaned: Column) -> Column:
@@ -99,14 +110,19 @@ def upper_letter_count(text: Column) -> Column:
     return characters_in(text, r"\p{Lu}")
 
 
+def removed_by(text: Column, characters: str) -> Column:
+    """Number of characters of ``text`` that are among ``characters``."""
+    return F.length(text) - F.length(F.translate(text, characters, ""))
+
+
 def digit_count(text: Column) -> Column:
-    return characters_in(text, DIGIT)
+    return characters_in(text, r"\p{Nd}") + removed_by(text, DIGIT_LIKE_CHARACTERS)
 
 
 def punctuation_count(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, PUNCTUATION, ""))
+    return removed_by(text, PUNCTUATION)
 
 
 def caps_word_count(text: Column) -> Column:
-    """Tokens longer than one character that are upper-case throughout (``A1!`` is, ``123`` is not)."""
+    """Of blanked text: tokens longer than one character that are upper-case throughout (``A1!`` is, ``123`` is not)."""
     return F.regexp_count(text, F.lit(CAPS_TOKEN_PATTERN))

@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from mailshape.operators.vectorize import assembly_stages, embedding_stages, text_stages
+from mailshape.session import land
 
 LOGISTIC_ITERATIONS = 1000
 SVM_ITERATIONS = 2000
@@ -34,8 +35,10 @@ class RidgeClassifier(Estimator):
         self.model_type, self.balanced, self.c = model_type, balanced, c
 
     def _fit(self, dataset: DataFrame) -> Model:
-        rows = dataset.select("label", "features")
-        n, positives = dataset.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1)).first()
+        # Hundreds of iterations follow, each a job over these rows: landed, they have a lineage of one
+        # scan, to repeat if an executor is lost, and a task description without the text stages.
+        rows = land(dataset.select("label", "features"), "features")
+        n, positives = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1)).first()
         settings = dict(regParam=1.0 / (self.c * n), standardization=False, tol=TOLERANCE,
                         featuresCol="features", labelCol="label")
         if self.balanced:

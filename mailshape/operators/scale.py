@@ -14,6 +14,16 @@ BROADCAST_ROWS = 1_000_000
 SALTS = 16
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over all cores if the scan gives fewer tasks than that.
+
+    Text work is heavy per row, and an input of few unsplittable pieces (one row group, one CSV file)
+    would leave most cores idle. A large input has tasks enough and passes unchanged, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
                 broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
     """Join ``facts`` with a ``lookup`` that has one row per ``key``.

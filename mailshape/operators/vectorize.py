@@ -23,14 +23,14 @@ from mailshape.operators.scale import lookup_join
 
 MAX_TERMS = 5000
 # Fixed pattern: words of two or more characters on cleaned (ASCII, lower-case) text.
-TERM_PATTERN = "[a-z0-9]{2,}"
+TERM_PATTERN = r"\p{Alnum}{2,}"
 
 # Fixed settings of the embedding.
 VECTOR_SIZE, WINDOW_SIZE, MIN_COUNT, EPOCHS, SEED = 50, 5, 5, 5, 12345
 SENTENCE_LIMIT = 10_000
 # Training keeps two float vectors per word on the driver and in every task.
 MAX_EMBEDDING_BYTES = 1 << 30
-WORDS_PER_TRAINING_PARTITION = 10_000_000
+WORDS_PER_TRAINING_PARTITION = 250_000
 
 
 def default_stop_words() -> list[str]:
@@ -193,7 +193,8 @@ class CentroidVectorizer(Estimator):
 
     @staticmethod
     def _partitions(dataset: DataFrame, words: int) -> int:
-        """More partitions train faster but blur the vectors: one for a small corpus, one per core at most."""
+        """One per :data:`WORDS_PER_TRAINING_PARTITION`, one per core at most. Partitions train apart and are
+        averaged every epoch, so a small corpus gets a single one."""
         cores = dataset.sparkSession.sparkContext.defaultParallelism
         return max(1, min(cores, words // WORDS_PER_TRAINING_PARTITION))
 

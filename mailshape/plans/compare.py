@@ -44,7 +44,7 @@ def pipeline_for(settings: TextModel, stop_words: Sequence[str] | None = None) -
 
 
 def cross_validate(pipeline: Pipeline, train: DataFrame, k: int = FOLDS,
-                   parallelism: int = 4) -> CrossValidatorModel:
+                   parallelism: int = FOLDS) -> CrossValidatorModel:
     """Refit the whole pipeline per stratified fold, score F1 of class 1, then fit on all of ``train``.
 
     ``train`` should be landed or cached: it is read once per pass of every fit.

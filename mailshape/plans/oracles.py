@@ -6,12 +6,13 @@ classes and the query parameters are shared.
 
 from __future__ import annotations
 
-from mailshape.functions.chars import DIGIT, PUNCTUATION, WHITE
+from mailshape.functions.chars import DIGIT_LIKE_RANGES, PUNCTUATION, WHITE
 from mailshape.functions.structural import STRUCTURAL_COLUMNS
 from mailshape.operators.lemma import NOUN_RULES
 from mailshape.operators.profile import COMMON_WORDS
 
 LEXICON_MAILS = 3
+DIGIT = r"\p{Nd}" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in DIGIT_LIKE_RANGES)
 
 
 def text(value: str) -> str:

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mailshape.operators.scale import spread
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spread(table(spark, folder, name))
+
+
 def documents_as_mail(documents: DataFrame) -> DataFrame:
     """First line as subject, the rest as body, the source as sender; ``lang`` is kept."""
     subject = F.substring_index("text", "\n", 1)
@@ -22,7 +28,7 @@ def labelled_mail(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents as mail: label 1 is a document of quality 0."""
     labels = table(spark, folder, "labels").select(
         F.col("doc_id").alias("mail_id"), (F.lit(1) - F.col("quality")).alias("label"))
-    return documents_as_mail(table(spark, folder, "documents")).join(labels, "mail_id")
+    return documents_as_mail(text_table(spark, folder, "documents")).join(labels, "mail_id")
 
 
 def train_mail(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,20 +42,20 @@ def test_mail(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_mail(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as mail. The label is the parity of the id, so that copies can conflict."""
-    return documents_as_mail(table(spark, folder, "documents")).drop("lang").withColumn(
+    return documents_as_mail(text_table(spark, folder, "documents")).drop("lang").withColumn(
         "label", (F.col("mail_id") % 2).cast("int"))
 
 
 def page_mail(spark: SparkSession, folder: str) -> DataFrame:
     """Web pages as mail: the URL as subject, the HTML source as body."""
-    return table(spark, folder, "pages").select(
+    return text_table(spark, folder, "pages").select(
         F.col("page_id").alias("mail_id"), F.col("url").alias("subject"),
         F.lit("").alias("sender"), F.col("html").alias("body"), F.lit(None).cast("int").alias("label"))
 
 
 def conversation_mail(spark: SparkSession, folder: str) -> DataFrame:
     """Turns as mail with an address made of role and conversation as sender."""
-    return table(spark, folder, "conversations").select(
+    return text_table(spark, folder, "conversations").select(
         "conv_id", "turn", F.lit("").alias("subject"), F.col("text").alias("body"),
         F.concat(F.col("role"), F.lit("@"), F.col("conv_id").cast("string"),
                  F.lit(".Example.org")).alias("sender"))
