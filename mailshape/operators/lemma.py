@@ -73,7 +73,7 @@ def lemma_map(words: DataFrame, lexicon: DataFrame,
             lambda f: F.struct(F.lit(1).alias("round"), f.alias("form"))).alias("forms"))
         candidates = candidates.join(listed, "word", "left_anti").unionByName(irregular)
 
-    forms = candidates.select("word", F.posexplode("forms").alias("rank", "_f")).select(
+    forms = candidates.select("word", F.posexplode_outer("forms").alias("rank", "_f")).select(
         "word", "rank", "_f.round", "_f.form")
     known = forms.join(lexicon.select(F.col("word").alias("form")), "form", "left_semi")
     best = known.groupBy("word").agg(

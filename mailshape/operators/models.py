@@ -19,6 +19,7 @@ from mailshape.session import land
 LOGISTIC_ITERATIONS = 1000
 SVM_ITERATIONS = 2000
 TOLERANCE = 1e-4
+ROWS_PER_TASK = 10_000
 
 
 class RidgeClassifier(Estimator):
@@ -39,6 +40,8 @@ class RidgeClassifier(Estimator):
         # scan, to repeat if an executor is lost, and a task description without the text stages.
         rows = land(dataset.select("label", "features"), "features")
         n, positives = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1)).first()
+        # A job over few rows is all scheduling: do not spread them over more tasks than worthwhile.
+        rows = rows.coalesce(max(1, n // ROWS_PER_TASK))
         settings = dict(regParam=1.0 / (self.c * n), standardization=False, tol=TOLERANCE,
                         featuresCol="features", labelCol="label")
         if self.balanced:

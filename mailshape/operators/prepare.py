@@ -52,8 +52,14 @@ def require_text(df: DataFrame) -> None:
 
 
 def drop_empty_text(df: DataFrame) -> DataFrame:
+    """Rows with a non-blank ``text``.
+
+    Written as the expansion of a list of at most one text. A plain filter would sink below the
+    cleaning step, so that every text would be cleaned twice.
+    """
     require_text(df)
-    return df.filter(~T.is_blank(F.col("text")))
+    some = F.filter(F.array("text"), lambda text: ~T.is_blank(text))
+    return df.select(*[F.explode(some).alias(c) if c == "text" else c for c in df.columns])
 
 
 def _compact(df: DataFrame, column: str) -> Column:
@@ -65,28 +71,35 @@ def _compact(df: DataFrame, column: str) -> Column:
 
 
 def first_copies(df: DataFrame, subset: Sequence[str] = ("text", "label"),
-                 key: str = "mail_id") -> DataFrame:
+                 key: str = "mail_id", skip: Column | None = None) -> DataFrame:
     """Keep the row of the smallest ``key`` among rows equal in ``subset`` (nulls are equal).
 
     Copies are pre-aggregated to one ``min(key)`` per group before any shuffle, so a text that makes
     up a large part of the corpus costs one row per task; the full rows are then picked by their
     unique key. A window over the group would send all its copies to one task.
+
+    Rows for which ``skip`` holds are left out. They only lose their key here instead of meeting a
+    filter: a filter would sink below the cleaning step and evaluate it a second time.
     """
     names = [f"_k{i}" for i in range(len(subset))]
-    narrow = df.select(key, *[_compact(df, c).alias(n) for c, n in zip(subset, names)])
+    candidate = F.col(key) if skip is None else F.when(~skip, F.col(key))
+    narrow = df.select(
+        candidate.alias(key), *[_compact(df, c).alias(n) for c, n in zip(subset, names)])
     firsts = narrow.groupBy(*names).agg(F.min(key).alias(key)).select(key)
-    return df.join(firsts, key, "left_semi")
+    return df.join(firsts.filter(F.col(key).isNotNull()), key, "left_semi")
 
 
 def conflicting_groups(df: DataFrame) -> DataFrame:
-    """One row per text that carries more than one label: its smallest key, rows and label range."""
+    """One row per non-empty text with more than one label: its smallest key, rows and label range."""
     return (
-        df.filter(F.col("text").isNotNull())
-        .groupBy(_compact(df, "text").alias("_text"))
+        df.select("mail_id", "label", _compact(df, "text").alias("_text"),
+                  T.is_blank(F.col("text")).alias("_blank"))
+        .groupBy("_text")
         .agg(F.min("mail_id").alias("first_mail_id"), F.count(F.lit(1)).alias("n_rows"),
-             F.min("label").alias("min_label"), F.max("label").alias("max_label"))
-        .filter(F.col("min_label") != F.col("max_label"))
-        .drop("_text")
+             F.min("label").alias("min_label"), F.max("label").alias("max_label"),
+             F.max("_blank").alias("_blank"))
+        .filter((F.col("min_label") != F.col("max_label")) & ~F.col("_blank"))
+        .drop("_text", "_blank")
     )
 
 
@@ -97,33 +110,47 @@ def conflicting_label_count(df: DataFrame) -> DataFrame:
 def cleaning_summary(df: DataFrame, dataset: str, drop_empty: bool = True,
                      deduplicate: bool = True,
                      subset: Sequence[str] = ("text", "label")) -> DataFrame:
-    """One row on what :func:`clean_dataset` removes and leaves, from one pass over the mails."""
+    """One row on what :func:`clean_dataset` removes and leaves.
+
+    With ``text`` in the subset, one pass over the mails: copies within a group, then groups within
+    a text, then the totals, each level on what the level before left over.
+    """
     require_text(df)
     kept = ~T.is_blank(F.col("text")) if drop_empty else F.lit(True)
     names = [f"_k{i}" for i in range(len(subset))]
     rows = df.select(
         kept.alias("_kept"), _compact(df, "text").alias("_text"), F.col("label").alias("_label"),
-        *[_compact(df, c).alias(n) for c, n in zip(subset, names)])
-    # Copies are counted map-side first; everything below works on one row per distinct group.
-    copies = rows.groupBy("_kept", "_text", *names).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_label").alias("_lo"), F.max("_label").alias("_hi"))
-    groups = copies if "text" in subset else copies.groupBy("_kept", *names).agg(
-        F.sum("_n").alias("_n"))
-    no_rows = F.lit(0).cast("bigint")
-    sizes = groups.agg(
-        F.coalesce(F.sum("_n"), no_rows).alias("initial_rows"),
-        F.coalesce(F.sum(F.when(~F.col("_kept"), F.col("_n"))), no_rows).alias("dropped_empty"),
-        F.coalesce(F.sum(F.when(F.col("_kept"), F.col("_n") - 1)), no_rows).alias("_copies"))
-    conflicts = (
-        copies.filter(F.col("_kept") & F.col("_text").isNotNull())
-        .groupBy("_text").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-        .agg(F.count_if(F.col("_lo") != F.col("_hi")).alias("n")))
-    removed = F.col("_copies") if deduplicate else no_rows
-    return sizes.select(
-        F.lit(dataset).alias("dataset"), "initial_rows", "dropped_empty",
-        removed.alias("removed_duplicates"),
-        (conflicts.scalar() if deduplicate else no_rows).alias("conflicting_groups"),
-        (F.col("initial_rows") - F.col("dropped_empty") - removed).alias("remaining"))
+        *[_compact(df, c).alias(n) for c, n in zip(subset, names) if c != "text"])
+    others = [n for c, n in zip(subset, names) if c != "text"]
+    is_kept, n = F.col("_kept"), F.col("_n")
+    labels = (F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    sizes = (
+        F.sum(n).alias("_n"), F.sum(F.when(~is_kept, n)).alias("_dropped"),
+        F.sum(F.when(is_kept, n - 1)).alias("_copies"))
+
+    copies = rows.withColumn("_seen", F.when(is_kept, F.col("_label")))
+    counted = (F.count(F.lit(1)).alias("_n"), F.min("_seen").alias("_lo"), F.max("_seen").alias("_hi"))
+    conflict = F.count_if((F.col("_lo") != F.col("_hi")) & F.col("_text").isNotNull()).alias("_conflicts")
+    totals = (F.sum("_n").alias("_n"), F.sum("_dropped").alias("_dropped"),
+              F.sum("_copies").alias("_copies"))
+    if "text" in subset:
+        result = (
+            copies.groupBy("_kept", "_text", *others).agg(*counted)
+            .groupBy("_text").agg(*sizes, *labels).agg(*totals, conflict))
+    else:
+        conflicts = copies.groupBy("_text").agg(*counted).agg(conflict)
+        result = copies.groupBy("_kept", *others).agg(*counted).agg(*sizes).withColumn(
+            "_conflicts", conflicts.scalar())
+
+    def number(column: str) -> Column:
+        return F.coalesce(F.col(column), F.lit(0).cast("bigint"))
+
+    removed = number("_copies") if deduplicate else F.lit(0).cast("bigint")
+    return result.select(
+        F.lit(dataset).alias("dataset"), number("_n").alias("initial_rows"),
+        number("_dropped").alias("dropped_empty"), removed.alias("removed_duplicates"),
+        (number("_conflicts") if deduplicate else F.lit(0).cast("bigint")).alias("conflicting_groups"),
+        (number("_n") - number("_dropped") - removed).alias("remaining"))
 
 
 def clean_dataset(df: DataFrame, dataset: str, *, drop_empty: bool = True,
@@ -134,8 +161,10 @@ def clean_dataset(df: DataFrame, dataset: str, *, drop_empty: bool = True,
     require_text(df)
     subset = tuple(dedupe_subset) if dedupe_subset is not None else ("text", "label")
     summary = cleaning_summary(df, dataset, drop_empty, deduplicate, subset)
-    kept = drop_empty_text(df) if drop_empty else df
-    return (first_copies(kept, subset, key) if deduplicate else kept), summary
+    if deduplicate:
+        skip = T.is_blank(F.col("text")) if drop_empty else None
+        return first_copies(df, subset, key, skip), summary
+    return (drop_empty_text(df) if drop_empty else df), summary
 
 
 def label_diversity(df: DataFrame, dataset: str) -> DataFrame | None:

@@ -1,7 +1,7 @@
 """Profile of a corpus by class: the tables behind the charts.
 
 All length statistics start from one small table, the number of mails per (label, word count), so
-the corpus itself is read and shuffled (pre-aggregated) once.
+the corpus itself is read once for them, and what is shuffled is already counted.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailshape.functions import text as T
+from mailshape.session import land
 
 CLASS_NAMES = {0: "Ham", 1: "Spam"}
 BINS = 50
@@ -50,18 +51,22 @@ def with_word_count(df: DataFrame) -> DataFrame:
 
 
 def length_counts(df: DataFrame) -> DataFrame:
-    """Mails per (label, word count); at most as many rows as there are different lengths."""
-    return with_word_count(df).groupBy("label", "word_count").agg(
-        F.count(F.lit(1)).alias("n"))
+    """Landed: mails per (label, word count), at most one row per class and different length.
+
+    Every statistic below combines several aggregates of this table. Left unwritten, each of them
+    would read the whole corpus again.
+    """
+    return land(with_word_count(df).groupBy("label", "word_count").agg(
+        F.count(F.lit(1)).alias("n")), "lengths")
 
 
-def length_histogram(df: DataFrame, bins: int = BINS) -> DataFrame:
-    """Mails per class in equal-width bins over the range of all mails; empty bins are listed.
+def length_histogram(lengths: DataFrame, bins: int = BINS) -> DataFrame:
+    """From :func:`length_counts`: mails per class in equal-width bins over the range of all mails; empty bins are listed.
 
     A bin holds its left edge, the last one both. Edges are ``low + i * width`` in double
     arithmetic, and a length is placed by comparing it with these very edges.
     """
-    lengths = length_counts(df).filter(F.col("label").isNotNull())
+    lengths = lengths.filter(F.col("label").isNotNull())
     bounds = lengths.agg(F.min("word_count").alias("lo"), F.max("word_count").alias("hi"))
     # A single length gets a range of one around it.
     pad = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
@@ -84,13 +89,13 @@ def length_histogram(df: DataFrame, bins: int = BINS) -> DataFrame:
         F.coalesce("n", F.lit(0).cast("bigint")).alias("n_rows"))
 
 
-def length_density(df: DataFrame, points: int = GRID_POINTS, bins: int = BINS) -> DataFrame:
-    """Gaussian kernel density of the word count per class, on one grid over the range of all mails.
+def length_density(lengths: DataFrame, points: int = GRID_POINTS, bins: int = BINS) -> DataFrame:
+    """From :func:`length_counts`: Gaussian kernel density of the word count per class, on one grid over the range of all mails.
 
     Bandwidth is the class's sample deviation times n^(-1/5). ``density`` integrates to one per class;
     ``scaled`` has the area of the class's histogram bars. Classes without spread have no curve.
     """
-    lengths = length_counts(df).filter(F.col("label").isNotNull())
+    lengths = lengths.filter(F.col("label").isNotNull())
     bounds = lengths.agg(F.struct(F.min("word_count").alias("lo"),
                                   F.max("word_count").alias("hi")).alias("b"))
     # Exact sums (decimals cannot overflow here), so that the variance does not cancel.
@@ -119,13 +124,13 @@ def length_density(df: DataFrame, points: int = GRID_POINTS, bins: int = BINS) -
                          (density * F.col("rows") * F.col("width")).alias("scaled"))
 
 
-def length_quantile(df: DataFrame, q: float = 0.95) -> DataFrame:
-    """Exact quantile of the word count with linear interpolation.
+def length_quantile(lengths: DataFrame, q: float = 0.95) -> DataFrame:
+    """From :func:`length_counts`: exact quantile of the word count with linear interpolation.
 
     Runs over the counts per length: what one task holds is bounded by the number of different mail
     lengths, not by the number of mails.
     """
-    return length_counts(df).groupBy("word_count").agg(F.sum("n").alias("n")).agg(
+    return lengths.groupBy("word_count").agg(F.sum("n").alias("n")).agg(
         F.percentile("word_count", F.lit(q), F.col("n")).alias("quantile"))
 
 
@@ -149,11 +154,12 @@ def top_terms(df: DataFrame, k: int = TOP_TERMS) -> DataFrame:
 
 
 def profile(df: DataFrame) -> dict[str, DataFrame]:
-    """All chart tables of a prepared corpus. ``df`` should be landed or cached: it is read four times."""
+    """All chart tables of a prepared corpus; ``df`` should be landed or cached."""
+    lengths = length_counts(df)
     return {
         "class_distribution": class_distribution(df),
-        "length_histogram": length_histogram(df),
-        "length_density": length_density(df),
-        "length_p95": length_quantile(df),
+        "length_histogram": length_histogram(lengths),
+        "length_density": length_density(lengths),
+        "length_p95": length_quantile(lengths),
         "top_terms": top_terms(df),
     }

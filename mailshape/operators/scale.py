@@ -24,6 +24,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def exploded(df: DataFrame, keep: Sequence[str], array_col: str, item: str) -> DataFrame:
+    """One row per array element, with the columns ``keep``.
+
+    Same rows as ``explode``. That one makes Spark test the array for being empty in a filter of its
+    own, which moves below the projection and computes the whole array expression a second time; the
+    outer form with a test on the element does not.
+    """
+    return df.select(*keep, F.explode_outer(array_col).alias(item)).filter(
+        F.col(item).isNotNull())
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
                 broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
     """Join ``facts`` with a ``lookup`` that has one row per ``key``.

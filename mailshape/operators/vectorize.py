@@ -19,7 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mailshape.functions.structural import STRUCTURAL_COLUMNS
-from mailshape.operators.scale import lookup_join
+from mailshape.operators.scale import exploded, lookup_join
 
 MAX_TERMS = 5000
 # Fixed pattern: words of two or more characters on cleaned (ASCII, lower-case) text.
@@ -60,7 +60,7 @@ def term_stages(ngram_range: tuple[int, int] = (1, 1), stop_words: Sequence[str]
 
 def term_totals(df: DataFrame, terms_col: str = "terms") -> DataFrame:
     """Total occurrences of every term, combined map-side."""
-    return df.select(F.explode(terms_col).alias("term")).groupBy("term").agg(
+    return exploded(df, [], terms_col, "term").groupBy("term").agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -201,7 +201,7 @@ class CentroidVectorizer(Estimator):
     def _fit(self, dataset: DataFrame) -> CentroidModel:
         tokens = dataset.select(self.input_col)
         sizes = (
-            tokens.select(F.explode(self.input_col).alias("word")).groupBy("word")
+            exploded(tokens, [], self.input_col, "word").groupBy("word")
             .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= self.min_count)
             .agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
             .first())

@@ -133,7 +133,7 @@ def drop_empty(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def conflicting_labels(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.conflicting_groups(prepare.drop_empty_text(prepared_all(spark, folder)))
+    return prepare.conflicting_groups(prepared_all(spark, folder))
 
 
 def dedupe_first(spark: SparkSession, folder: str) -> DataFrame:
@@ -174,15 +174,15 @@ def class_distribution(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def length_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.length_histogram(prepared_all(spark, folder)))
+    return rounded(profile.length_histogram(profile.length_counts(prepared_all(spark, folder))))
 
 
 def length_density(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.length_density(prepared_all(spark, folder)))
+    return rounded(profile.length_density(profile.length_counts(prepared_all(spark, folder))))
 
 
 def length_p95(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.length_quantile(prepared_all(spark, folder)))
+    return rounded(profile.length_quantile(profile.length_counts(prepared_all(spark, folder))))
 
 
 def top_terms(spark: SparkSession, folder: str) -> DataFrame:
