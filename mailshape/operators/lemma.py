@@ -23,6 +23,10 @@ NOUN_RULES = [
     ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
 ]
 
+# Changed words of one mail per lookup map, and the most maps one mail gets.
+WORDS_PER_MAP = 32
+MAPS_PER_MAIL = 1024
+
 
 def detached_forms(word: Column) -> Column:
     """Array of the forms the rules make of ``word``, in rule order."""
@@ -92,20 +96,33 @@ def lemmatize(df: DataFrame, columns: Sequence[str], lemmas: DataFrame,
     """Replace every token of the cleaned ``columns`` by its lemma.
 
     Token order is kept without exploding whole texts through a shuffle: the words of a mail that
-    change (distinct, and only those) are gathered into one small map per mail, which comes back by
-    ``key`` and is applied inside the row.
+    change (distinct, and only those) are gathered per mail, come back by ``key`` and are applied
+    inside the row. Looking a word up in a Spark map is a linear search, so a mail with many changes
+    has them split over several maps by hash.
     """
     per_mail = F.array_distinct(F.concat(*[T.cleaned_tokens(F.col(c)) for c in columns]))
     words = df.select(key, F.explode(per_mail).alias("word"))
-    changes = lookup_join(words, lemmas, "word").groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
+    gathered = lookup_join(words, lemmas, "word").groupBy(key).agg(
+        F.collect_list(F.struct("word", "lemma")).alias("_all"))
+    count = F.least(F.greatest(F.size("_all") / WORDS_PER_MAP, F.lit(1)), F.lit(MAPS_PER_MAIL))
+
+    def slot(word: Column) -> Column:
+        return F.pmod(F.xxhash64(word), F.col("_count")).cast("int")
+
+    split = F.transform(
+        F.sequence(F.lit(0), F.col("_count") - 1),
+        lambda number: F.map_from_entries(
+            F.filter("_all", lambda change: slot(change["word"]) == number)))
+    changes = gathered.withColumn("_count", count.cast("int")).select(
+        key, "_count", split.alias("_maps"))
+
+    def lemma_of(token: Column) -> Column:
+        found = F.try_element_at(F.element_at(F.col("_maps"), slot(token) + 1), token)
+        return F.coalesce(found, token)
 
     def replaced(column: str) -> Column:
-        swapped = F.transform(
-            T.cleaned_tokens(F.col(column)),
-            lambda token: F.coalesce(F.try_element_at(F.col("_lemmas"), token), token))
-        return F.when(F.col("_lemmas").isNull(), F.col(column)).otherwise(
-            F.array_join(swapped, " "))
+        return F.when(F.col("_maps").isNull(), F.col(column)).otherwise(
+            F.array_join(F.transform(T.cleaned_tokens(F.col(column)), lemma_of), " "))
 
     return df.join(changes, key, "left").withColumns(
-        {column: replaced(column) for column in columns}).drop("_lemmas")
+        {column: replaced(column) for column in columns}).drop("_maps", "_count")

@@ -19,7 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mailshape.functions.structural import STRUCTURAL_COLUMNS
-from mailshape.operators.scale import exploded, lookup_join
+from mailshape.operators.scale import BROADCAST_ROWS, exploded, lookup_join
 
 MAX_TERMS = 5000
 # Fixed pattern: words of two or more characters on cleaned (ASCII, lower-case) text.
@@ -232,12 +232,15 @@ def centroids(df: DataFrame, word_vectors: DataFrame, size: int, text_col: str =
               key: str = "mail_id") -> DataFrame:
     """Centroids from a given table ``(word, vector)``: ``(key, n_known, centroid)`` for every mail.
 
-    Repeats of a word are counted before the join, the join is broadcast only if the table is
-    counted small, and the dimensions are summed as ``size`` columns instead of exploded rows.
+    The dimensions are summed as ``size`` columns, not as exploded rows. With a table counted small
+    the tokens are joined and summed where they are, and one row per mail is shuffled; for a larger
+    table the repeats of a word within a mail are counted before they go through the join.
     """
-    words = (
-        df.select(key, F.explode(F.split(text_col, " ")).alias("word"))
-        .groupBy(key, "word").agg(F.count(F.lit(1)).alias("n")))
+    tokens = df.select(key, F.explode(F.split(text_col, " ")).alias("word"))
+    if word_vectors.count() <= BROADCAST_ROWS:
+        words = tokens.withColumn("n", F.lit(1).cast("bigint"))
+    else:
+        words = tokens.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
     sums = lookup_join(words, word_vectors, "word").groupBy(key).agg(
         F.sum("n").alias("n_known"),
         *[F.sum(F.col("n") * F.col("vector")[i].cast("double")).alias(f"_d{i}")

@@ -51,9 +51,11 @@ def land(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage durably (lost executors re-read files instead of recomputing) and makes
     every later reader see the same rows in the same files, which steps built on partition numbers
-    need. Unlike ``checkpoint()`` the scan still prunes columns.
+    need. Unlike ``checkpoint()`` the scan still prunes columns. All tables of one application lie in
+    one folder, which may be removed once the application has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/mailshape/{uuid.uuid4().hex}/{name}"
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/mailshape/{application}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.operators.scale import range_blocks, with_running_totals
+from mailshape.operators.scale import lookup_join, range_blocks, with_running_totals
+from mailshape.session import land
 from mailshape.sources.csv_mail import MAIL_COLUMNS
 
 # Fixed (folder, label) pairs; their order is the order of the resulting rows.
@@ -92,13 +93,16 @@ def decode_mails(files: DataFrame) -> DataFrame:
 
 
 def load_raw_mails(spark: SparkSession, root: str) -> DataFrame:
-    """Mail frame over the labelled folders, numbered by (folder, file name).
+    """Landed mail frame over the labelled folders, numbered by (folder, file name).
 
-    The decoded mails are landed in that order: many small files become few columnar ones, and the
-    numbers come from block offsets rather than from one global sort.
+    Numbers are made from the file names alone, which does not read any file; then every file is read
+    and decoded once, and many small files become few columnar ones.
     """
-    decoded = decode_mails(scan_labelled_folders(spark, root))
+    files = scan_labelled_folders(spark, root)
     order = [F.col("label"), F.col("path")]
-    blocks = range_blocks(decoded, order, "raw_mail")
-    numbered = with_running_totals(blocks, order, {"_row": F.lit(1)})
-    return numbered.withColumn("mail_id", F.col("_row") - 1).select(*MAIL_COLUMNS)
+    blocks = range_blocks(files.select("label", "path"), order, "file_names")
+    numbers = land(
+        with_running_totals(blocks, order, {"_row": F.lit(1)})
+        .select("path", (F.col("_row") - 1).alias("mail_id")), "file_numbers")
+    mails = lookup_join(decode_mails(files), numbers, "path").select(*MAIL_COLUMNS)
+    return land(mails, "raw_mail")

@@ -71,3 +71,13 @@ def test_salted_lookup_gives_the_same_rows(spark, how):
     key = lambda r: (r.id, r.key, r.v or 0)
     assert sorted(map(key, small.collect())) == sorted(map(key, large.collect()))
     assert large.count() == (202 if how == "inner" else 300)
+
+
+def test_many_changes_in_one_mail(spark):
+    words = [f"w{i}s" for i in range(3000)]
+    mail = spark.createDataFrame([(1, " ".join(words + ["keep"] + words)), (2, "w5s")],
+                                 "mail_id bigint, body string")
+    lemmas = spark.createDataFrame([(w, w[:-1]) for w in words], "word string, lemma string")
+    rows = {r.mail_id: r.body for r in lemmatize(mail, ["body"], lemmas).collect()}
+    short = [w[:-1] for w in words]
+    assert rows == {1: " ".join(short + ["keep"] + short), 2: "w5"}
