@@ -55,8 +55,8 @@ def main() -> None:
         prepare.corpus_union(train, test)).values()])
     for settings in compare.TEXT_MODELS:
         timed(f"fit_score_{compare.model_tag(settings.name)}", lambda: drain(
-            compare.run_text_model(settings, train, test, do_cv=False)[0]))
-    timed("fit_score_word2vec", lambda: drain(compare.run_embedding_model(train, test)[0]))
+            compare.run_text_model(settings, train, test, do_cv=False).metrics))
+    timed("fit_score_word2vec", lambda: drain(compare.run_embedding_model(train, test).metrics))
 
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",

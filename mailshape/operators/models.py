@@ -40,13 +40,15 @@ class RidgeClassifier(Estimator):
         # scan, to repeat if an executor is lost, and a task description without the text stages.
         rows = land(dataset.select("label", "features"), "features")
         n, positives = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1)).first()
+        if not 0 < positives < n:
+            raise ValueError("training needs mails of both classes")
         # A job over few rows is all scheduling: do not spread them over more tasks than worthwhile.
         rows = rows.coalesce(max(1, n // ROWS_PER_TASK))
         settings = dict(regParam=1.0 / (self.c * n), standardization=False, tol=TOLERANCE,
                         featuresCol="features", labelCol="label")
         if self.balanced:
-            weight = F.when(F.col("label") == 1, n / (2.0 * max(positives, 1))).otherwise(
-                n / (2.0 * max(n - positives, 1)))
+            weight = F.when(F.col("label") == 1, n / (2.0 * positives)).otherwise(
+                n / (2.0 * (n - positives)))
             rows = rows.withColumn("_weight", weight)
             settings["weightCol"] = "_weight"
         if self.model_type == "logistic":

@@ -42,7 +42,8 @@ def sample_counts(**corpora: DataFrame) -> DataFrame:
 
 
 def class_distribution(df: DataFrame) -> DataFrame:
-    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+    """Mails per class; mails without a label are in none."""
+    return df.filter(F.col("label").isNotNull()).groupBy("label").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
         "class_name", class_name(F.col("label")))
 
 

@@ -150,10 +150,11 @@ def matrix_cells(df: DataFrame, vector_col: str, vocabulary: Sequence[str],
     """Non-zero cells of a sparse vector column as ``(key, term, value)``, without a shuffle."""
     sparse = df.select(key, F.unwrap_udt(vector_col).alias("_v")).select(
         key, F.col("_v.indices").alias("_at"), F.col("_v.values").alias("_value"))
-    names = F.lit(list(vocabulary))
-    return sparse.select(key, F.explode(F.arrays_zip("_at", "_value")).alias("_cell")).select(
-        key, F.element_at(names, F.col("_cell._at") + 1).alias("term"),
-        F.col("_cell._value").alias("value"))
+    cells = sparse.select(key, F.explode(F.arrays_zip("_at", "_value")).alias("_cell")).select(
+        key, F.col("_cell._at").alias("_at"), F.col("_cell._value").alias("value"))
+    # The vocabulary is bounded by the size of the vectoriser, so it may always be broadcast.
+    names = df.sparkSession.createDataFrame(list(enumerate(vocabulary)), "_at int, term string")
+    return cells.join(F.broadcast(names), "_at").select(key, "term", "value")
 
 
 class CentroidModel(Transformer):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from statistics import fmean, pstdev
 
 from pyspark import inheritable_thread_target
@@ -102,17 +103,30 @@ def evaluation_tables(predictions: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def _result(name: str, predictions: DataFrame, cv_mean: float | None = None,
-            cv_spread: float | None = None) -> DataFrame:
-    return evaluate.binary_metrics(predictions).select(
+@dataclass(frozen=True)
+class ModelRun:
+    """One model on the foreign corpus. A failed run has neither model nor predictions."""
+
+    name: str
+    metrics: DataFrame
+    model: PipelineModel | None = None
+    predictions: DataFrame | None = None
+
+
+def _run(name: str, model: PipelineModel, predictions: DataFrame, cv_mean: float | None = None,
+         cv_spread: float | None = None) -> ModelRun:
+    # Four narrow columns, landed: every table of the evaluation starts from them, not from the mails.
+    predictions = land(predictions, "predictions")
+    metrics = evaluate.binary_metrics(predictions).select(
         F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1",
         F.lit(cv_mean).cast("double").alias("cv_f1_mean"),
         F.lit(cv_spread).cast("double").alias("cv_f1_spread"), F.lit("ok").alias("status"))
+    return ModelRun(name, metrics, model, predictions)
 
 
 def run_text_model(settings: TextModel, train: DataFrame, test: DataFrame, do_cv: bool = True,
-                   stop_words: Sequence[str] | None = None) -> tuple[DataFrame, PipelineModel]:
-    """Fit on ``train`` (cross-validating on the way), score on ``test``: (metrics row, model)."""
+                   stop_words: Sequence[str] | None = None) -> ModelRun:
+    """Fit on ``train`` (cross-validating on the way) and score ``test``."""
     pipeline = pipeline_for(settings, stop_words)
     mean = spread = None
     if do_cv:
@@ -120,29 +134,36 @@ def run_text_model(settings: TextModel, train: DataFrame, test: DataFrame, do_cv
         model, mean, spread = validated.model, validated.mean, validated.spread
     else:
         model = pipeline.fit(train)
-    return _result(settings.name, models.predict(model, test), mean, spread), model
+    return _run(settings.name, model, models.predict(model, test), mean, spread)
 
 
-def run_embedding_model(train: DataFrame, test: DataFrame,
-                        **settings) -> tuple[DataFrame, PipelineModel]:
+def run_embedding_model(train: DataFrame, test: DataFrame, **settings) -> ModelRun:
     model = models.train_embedding_model(train, **settings)
-    return _result(EMBEDDING_MODEL, models.predict_probability(model, test)), model
+    return _run(EMBEDDING_MODEL, model, models.predict_probability(model, test))
 
 
-def compare_models(train: DataFrame, test: DataFrame, do_cv: bool = True,
-                   stop_words: Sequence[str] | None = None) -> DataFrame:
-    """One metrics row per model. If the embedding model fails, its row says so and the rest stands."""
-    rows = [run_text_model(m, train, test, do_cv, stop_words)[0] for m in TEXT_MODELS]
+def run_models(train: DataFrame, test: DataFrame, do_cv: bool = True,
+               stop_words: Sequence[str] | None = None) -> list[ModelRun]:
+    """The five runs. If the embedding model fails, its metrics row says so and the rest stands."""
+    runs = [run_text_model(m, train, test, do_cv, stop_words) for m in TEXT_MODELS]
     try:
-        rows.append(run_embedding_model(train, test)[0])
+        runs.append(run_embedding_model(train, test))
     except Exception as error:  # any failure of this leg is reported in its row
         nothing = F.lit(None).cast("double")
-        rows.append(train.sparkSession.range(1).select(
+        runs.append(ModelRun(EMBEDDING_MODEL, train.sparkSession.range(1).select(
             F.lit(EMBEDDING_MODEL).alias("model"),
             *[nothing.alias(c) for c in ("accuracy", "precision", "recall", "f1",
                                          "cv_f1_mean", "cv_f1_spread")],
-            F.lit(f"failed: {error}").alias("status")))
-    merged = rows[0]
-    for row in rows[1:]:
-        merged = merged.unionByName(row)
-    return merged
+            F.lit(f"failed: {error}").alias("status"))))
+    return runs
+
+
+def comparison(runs: Sequence[ModelRun]) -> DataFrame:
+    """The metrics rows of several runs under one another."""
+    return reduce(DataFrame.unionByName, [run.metrics for run in runs])
+
+
+def compare_models(train: DataFrame, test: DataFrame, do_cv: bool = True,
+                   stop_words: Sequence[str] | None = None) -> DataFrame:
+    """One metrics row per model."""
+    return comparison(run_models(train, test, do_cv, stop_words))

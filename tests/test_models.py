@@ -118,11 +118,11 @@ def test_logistic_solves_the_summed_loss_objective(spark, train):
 @pytest.mark.parametrize("settings", compare.TEXT_MODELS, ids=lambda m: m.name)
 def test_text_models_separate_clear_classes(spark, settings):
     clear, other = land(corpus(spark, 60, 3), "clear"), land(corpus(spark, 30, 4), "other")
-    row, model = compare.run_text_model(settings, clear, other, do_cv=False)
-    assert row.first().f1 == 1.0
+    run = compare.run_text_model(settings, clear, other, do_cv=False)
+    assert run.metrics.first().f1 == 1.0
     again = models.predict(compare.pipeline_for(settings).fit(clear), other)
     same = lambda df: sorted((r.mail_id, r.prediction, round(r.score, 9)) for r in df.collect())
-    assert same(again) == same(models.predict(model, other))
+    assert same(again) == same(run.predictions)
     assert all((r.score > 0) == (r.prediction == 1) for r in again.collect())
 
 
@@ -167,15 +167,17 @@ def test_comparison_reports_a_failing_embedding_leg(spark, train, test_set, monk
 
 
 def test_embedding_model(spark, train, test_set):
-    row, model = compare.run_embedding_model(train, test_set)
-    assert row.first().f1 > 0.8
-    scores = [r.score for r in models.predict_probability(model, test_set).collect()]
+    run = compare.run_embedding_model(train, test_set)
+    assert run.metrics.first().f1 > 0.8
+    scores = [r.score for r in run.predictions.collect()]
     assert all(0 <= s <= 1 for s in scores)
-    tables = compare.evaluation_tables(models.predict_probability(model, test_set))
+    tables = compare.evaluation_tables(run.predictions)
     assert tables["pr_curve"].count() == len(set(scores)) + 1
 
 
 def test_rejections_and_tags(train):
+    with pytest.raises(ValueError, match="both classes"):
+        models.train_text_model(train.filter("label = 1"))
     with pytest.raises(ValueError, match="model_type"):
         models.text_pipeline(model_type="tree")
     with pytest.raises(ValueError, match="vectorizer_type"):
