@@ -19,7 +19,7 @@ from mailshape.session import land
 LOGISTIC_ITERATIONS = 1000
 SVM_ITERATIONS = 2000
 TOLERANCE = 1e-4
-ROWS_PER_TASK = 10_000
+ROWS_PER_TASK = 50_000
 
 
 class RidgeClassifier(Estimator):

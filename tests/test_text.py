@@ -113,3 +113,14 @@ def test_url_marking_and_ratio(spark):
     row = frame.first()
     assert row.c == "see url and url http http y url"
     assert (row.r, row.none, row.two, row.n0, row.n3) == (0.0, [], ["now!", "a.b"], 0, 3)
+
+
+def test_tags_around_the_last_bracket(spark):
+    import time
+    texts = ["<a>x<b", "a > b < c", "<<>>x<y>", "no tags", ">", "<>", "<\n>é<", "<" * 5 + "é>" + "<" * 5,
+             "<" * 400_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    start = time.time()
+    got = [r.c for r in frame.orderBy("i").select(T.clean_characters(F.col("t")).alias("c")).collect()]
+    assert time.time() - start < 20
+    assert got == [python_clean(t) for t in texts[:-1]] + [""]
