@@ -15,13 +15,13 @@ SALTS = 16
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over all cores if the scan gives fewer tasks than that.
+    """Deal rows out over all cores if the scan would occupy a quarter of them or less.
 
     Text work is heavy per row, and an input of few unsplittable pieces (one row group, one CSV file)
     would leave most cores idle. A large input has tasks enough and passes unchanged, unshuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 4 * df.rdd.getNumPartitions() <= cores else df
 
 
 def exploded(df: DataFrame, keep: Sequence[str], array_col: str, item: str) -> DataFrame:
@@ -68,7 +68,8 @@ def with_running_totals(blocks: DataFrame, order_by: Sequence[Column],
 
     ``totals`` maps a new column name to the bigint expression to sum. Two passes instead of one
     task for everything: sums per block, whose running sums (one row per block and partition key)
-    are joined back as offsets, then a window inside each block.
+    are joined back as offsets, then a window inside each block. Meant for few partition keys, such
+    as labels: the offsets are broadcast.
     """
     keys = ["_block", *partition_by]
     per_block = blocks.groupBy(*keys).agg(
