@@ -50,17 +50,12 @@ def scan_labelled_folders(spark: SparkSession, root: str) -> DataFrame:
     return found
 
 
-def _payload_text(part) -> str:
-    """Transfer encoding undone; the bytes always read as UTF-8, whatever charset is declared."""
-    payload = part.get_payload(decode=True)
-    return payload.decode("utf-8", errors="replace") if payload else ""
-
-
 def mail_fields(content: bytes) -> tuple[str, str, str]:
     """Subject, sender and body of one raw message.
 
     Header values that are not plain strings (raw 8-bit bytes) count as empty; encoded words and
-    folds stay as they are. HTML parts only count if there is no plain part at all, even an empty one.
+    folds stay as they are. Bodies are read as UTF-8 whatever charset is declared. HTML parts only
+    count if there is no plain part at all, even an empty one.
     """
     # Read as a file, so that line ends are unified as they are for a mail read from disk.
     message = email.message_from_binary_file(io.BytesIO(content))
@@ -71,7 +66,8 @@ def mail_fields(content: bytes) -> tuple[str, str, str]:
     for part in message.walk():
         kind = part.get_content_type()
         if kind in texts:
-            texts[kind].append(_payload_text(part))
+            content_bytes = part.get_payload(decode=True) or b""
+            texts[kind].append(content_bytes.decode("utf-8", "replace"))
     return subject, sender, " ".join(texts["text/plain"] or texts["text/html"])
 
 

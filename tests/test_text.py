@@ -24,11 +24,14 @@ TRAPS = [
 ]
 
 
-def python_clean(text):
-    text = re.sub(r"<[^>]+>", " ", text)
-    text = re.sub(r"http\S+|www\.\S+", " URL ", text)
-    text = re.sub(r"[^a-zA-Z0-9\s!?.,]", " ", text)
-    return " ".join(text.split()).lower()
+KEPT = set(string.ascii_letters + string.digits + "!?.,")
+MARKED = [("<[^>]+>", " "), (r"http\S+|www\.\S+", " URL ")]
+
+
+def python_clean(raw):
+    for pattern, mark in MARKED:
+        raw = mark.join(re.split(pattern, raw))
+    return " ".join("".join(c if c in KEPT else " " for c in raw).lower().split())
 
 
 def python_features(subject, body, sender):
