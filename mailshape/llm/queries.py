@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.llm import quality, urlfilter
+from mailshape.llm import neardup, packing, quality, urlfilter
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
 LISTED_HOSTS = r"ads|adult|bets|casino|pills|spam"
 
 
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"),
+                                  public_tokenizers.path(packing.VOCABULARY), with_ids=False)
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = quality.quality_rules(table(spark, folder, "documents"))
     return rules.withColumn("host_rate", F.round("host_rate", 6))
@@ -23,4 +33,4 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
                                  pages.filter(host.rlike(LISTED_HOSTS)))
 
 
-QUERIES = {f.__name__: f for f in [op9_quality_rules, op10_url_filters]}
+QUERIES = {f.__name__: f for f in [op3_minhash, op8_packing, op9_quality_rules, op10_url_filters]}
