@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.llm import neardup, packing, quality, urlfilter
+from mailshape.llm import neardup, packing, quality, toxicity, urlfilter
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
@@ -16,6 +16,16 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, toxicity.label_grades(table(spark, folder, "labels")),
+                         toxicity.GRADES)
+    scored = docs.select("doc_id", toxicity.severity(model, F.col("text")).alias("s"))
+    return scored.select(
+        "doc_id", F.col("s.grade").alias("severity"),
+        F.col("s.expected").alias("expected_severity"), (F.col("s.grade") == 0).alias("kept"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"),
                                   public_tokenizers.path(packing.VOCABULARY), with_ids=False)
@@ -33,4 +43,4 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
                                  pages.filter(host.rlike(LISTED_HOSTS)))
 
 
-QUERIES = {f.__name__: f for f in [op3_minhash, op8_packing, op9_quality_rules, op10_url_filters]}
+QUERIES = {f.__name__: f for f in [op3_minhash, op7_toxicity, op8_packing, op9_quality_rules, op10_url_filters]}
