@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.llm import neardup, packing, quality, toxicity, urlfilter
+from mailshape.llm import neardup, packing, pii, quality, toxicity, urlfilter
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
@@ -16,6 +16,17 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = pii.fit(docs)
+    found = docs.select("doc_id", pii.find_spans(model, F.col("text")).alias("f"))
+    kinds = F.transform(pii.span_array(F.col("f.base")), lambda s: s["kind"])
+    return found.select(
+        "doc_id", *[(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint")
+                    .alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2("f.base", 256).alias("base_sha256"), F.col("f.spans").alias("spans"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs, toxicity.label_grades(table(spark, folder, "labels")),
@@ -43,4 +54,4 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
                                  pages.filter(host.rlike(LISTED_HOSTS)))
 
 
-QUERIES = {f.__name__: f for f in [op3_minhash, op7_toxicity, op8_packing, op9_quality_rules, op10_url_filters]}
+QUERIES = {f.__name__: f for f in [op3_minhash, op6_pii, op7_toxicity, op8_packing, op9_quality_rules, op10_url_filters]}
