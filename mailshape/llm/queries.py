@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.llm import neardup, packing, pii, quality, toxicity, urlfilter
+from mailshape.llm import htmltree, neardup, packing, pii, quality, toxicity, urlfilter
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
@@ -16,6 +16,11 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return htmltree.extract(pages, htmltree.fit(pages))
+
+
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = pii.fit(docs)
@@ -54,4 +59,4 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
                                  pages.filter(host.rlike(LISTED_HOSTS)))
 
 
-QUERIES = {f.__name__: f for f in [op3_minhash, op6_pii, op7_toxicity, op8_packing, op9_quality_rules, op10_url_filters]}
+QUERIES = {f.__name__: f for f in [op3_minhash, op5_html, op6_pii, op7_toxicity, op8_packing, op9_quality_rules, op10_url_filters]}
