@@ -3,9 +3,8 @@
 Equal shingle sets are one class from the start. Classes that share a band of the signature are
 candidates. A candidate pair's signatures are compared batch by batch; a pair leaves as soon as the
 posterior chance that its similarity reaches the threshold falls below the miss probability; what is
-left is checked on full sets. In a band's bucket one member is compared with the others, and pairs
-whose ends have met in the meantime are not compared any more, so a group of many copies does not
-make all its pairs; the last round takes every pair that is still apart.
+left is checked on full sets. Each class is compared with one hub first; what is then still apart in a
+bucket is compared in blocks, so a group of many copies does not make a row for each of its pairs.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from mailshape.llm.components import components
 from mailshape.llm.shingles import mixed, shingle_set
@@ -28,7 +27,8 @@ HASHES = 128
 BAND_ROWS = 4
 BATCH = 32
 MISS_PROBABILITY = 1e-6
-SPREAD_ROUNDS = 1
+# Classes of a component held at once while others stream past.
+BLOCK = 256
 
 _seeds = mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _FACTORS, _SHIFTS = _seeds[:HASHES] | np.uint64(1), _seeds[HASHES:]
@@ -150,54 +150,151 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> Dat
     return filled.filter("not repeated").select("key", "set").unionAll(again)
 
 
-def _hub_pairs(members: DataFrame, order: Column) -> DataFrame:
-    """Each member with its bucket's first class by ``order``, with the number of such buckets."""
-    hubs = members.groupBy("band").agg(F.min(F.struct(order.alias("o"), "key", "root")).alias("h"))
-    return (members.join(hubs, "band").filter("root <> h.root")
-            .groupBy(F.least("key", "h.key").alias("a"), F.greatest("key", "h.key").alias("b"))
-            .agg(F.count("*").alias("shared")))
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """Each class with the smallest class of its buckets that it shares most buckets with."""
+    hubs = members.groupBy("band").agg(F.min("key").alias("hub"))
+    shared = (members.join(hubs, "band").filter("key <> hub").groupBy("hub", "key")
+              .agg(F.count("*").alias("n")))
+    return shared.groupBy(F.col("key").alias("b")).agg(
+        F.max_by("hub", F.struct("n", "hub")).alias("a")).select("a", "b")
+
+
+def _shared_counts(sets: DataFrame) -> DataFrame:
+    """``(key, n, shared)``: a set's size, and how many of its shingles any other set has."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, raw in zip(batch.column(0), batch.column(1)):
+                found = np.frombuffer(raw.as_py(), "<i8")
+                high, low = np.frombuffer(key.as_py(), "<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found), pa.array(np.full(len(found), high)),
+                     pa.array(np.full(len(found), low))], ["s", "high", "low"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            halves = np.column_stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h.astype("<i8").tobytes() for h in halves], pa.binary()),
+                 batch.column(2)], ["key", "own"])
+
+    # A shingle of one set only is that set's own; counts are made before the shuffle.
+    own = (sets.select("key", "set").mapInArrow(spread, "s bigint, high bigint, low bigint")
+           .groupBy("s").agg(F.count("*").alias("n"), F.min("high").alias("high"),
+                             F.min("low").alias("low"))
+           .filter("n = 1").groupBy("high", "low").agg(F.count("*").alias("own"))
+           .mapInArrow(whole, "key binary, own bigint"))
+    return sets.select("key", (F.length("set") / 8).cast("bigint").alias("n")).join(
+        own, "key", "left").select("key", "n", (F.col("n") - F.coalesce("own", F.lit(0)))
+                                   .alias("shared"))
+
+
+def _apart(state: DataFrame) -> DataFrame:
+    """Rows of ``(band, key, root, ...)`` whose bucket has more than one root."""
+    mixed_up = state.groupBy("band").agg(F.min("root").alias("_x"), F.max("root").alias("_y"))
+    return state.join(mixed_up.filter("_x <> _y").select("band"), "band")
+
+
+def _against_components(state: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
+                        miss: float) -> DataFrame:
+    """Links ``(a, b)`` of classes with other components of their buckets, at most one for each
+    block of a component.
+
+    A class is compared with all of a component's classes, in blocks of ``BLOCK``: the block is held,
+    the classes stream past it. No pair becomes a row unless it is a link.
+    """
+    members = state.select("root", "key").distinct()
+    sizes = members.groupBy("root").agg(F.count("*").alias("size"))
+    state = state.join(sizes, "root")
+    # The smaller component's classes go to the larger one, ties by name.
+    targets = state.select("band", F.col("root").alias("_root"), F.col("size").alias("_size"))
+    seekers = (state.join(targets.distinct(), "band")
+               .filter(F.struct("size", "root") < F.struct("_size", "_root"))
+               .select("key", F.col("_root").alias("root"), F.col("_size").alias("size")).distinct())
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    held = members.join(sizes, "root").join(
+        seekers.select("root").distinct(), "root").select(
+            "root", F.pmod(F.xxhash64("key"), blocks).cast("int").alias("block"),
+            F.lit(0).alias("side"), "key")
+    passing = seekers.select("root", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+                             F.lit(1).alias("side"), "key")
+    rows = held.unionAll(passing)
+    full = sets.join(classes.select("key", "sig"), "key")
+    needed = least_matches(percent, miss)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, keys, found, held_signatures, signatures = None, [], [], [], None
+
+        def links(key, sig, own):
+            alive, matches = np.arange(len(keys)), np.zeros(len(keys), dtype=np.int64)
+            for end, least in needed:
+                part = slice(end - BATCH, end)
+                matches[alive] += (signatures[alive, part] == sig[part]).sum(axis=1)
+                alive = alive[matches[alive] >= least]
+            for i in alive[np.argsort(-matches[alive], kind="stable")]:
+                other = found[i]
+                if 100 * min(len(own), len(other)) < percent * max(len(own), len(other)):
+                    continue
+                common = len(np.intersect1d(own, other, assume_unique=True))
+                if 100 * common >= percent * (len(own) + len(other) - common):
+                    return keys[i]
+            return None
+
+        for batch in batches:
+            a, b = [], []
+            for root, block, side, key, sig, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if (root, block) != place:
+                    place, keys, found, held_signatures = (root, block), [], [], []
+                    signatures = None
+                own, sig = np.frombuffer(raw, "<u8"), np.frombuffer(sig, "<u4")
+                if side == 0:
+                    keys.append(key)
+                    found.append(own)
+                    held_signatures.append(sig)
+                elif keys:
+                    if signatures is None:
+                        signatures = np.array(held_signatures)
+                    other = links(key, sig, own)
+                    if other is not None:
+                        a.append(min(key, other))
+                        b.append(max(key, other))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    tasks = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.join(full, "key").select("root", "block", "side", "key", "sig", "set")
+            .repartition(tasks, "root", "block").sortWithinPartitions("root", "block", "side")
+            .mapInArrow(compare, "a binary, b binary"))
 
 
 def link_classes(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
-                 miss: float, rounds: int) -> DataFrame:
+                 miss: float) -> DataFrame:
     """``(node, root)`` of classes that links reach: the candidates' exact components.
 
-    First round: each class with the hub it shares most buckets with. Then ``rounds`` rounds in
-    which every bucket has a hub of its own choice. Last, all pairs of a bucket not yet together.
+    First each class with one hub, which joins most of any group of copies. Then, in buckets whose
+    classes are not all together, each class with the other components there. A class that cannot
+    reach the threshold with anything of its bucket's sizes, as too few of its shingles occur in any
+    other class, drops out before.
     """
-    links = roots = None
-    for step in range(rounds + 2):
-        if roots is None:
-            state = members.withColumn("root", F.col("key"))
-        else:
-            state = members.join(roots, members["key"] == roots["node"], "left").select(
-                "band", "key", F.coalesce("root", "key").alias("root"))
-            apart = state.groupBy("band").agg(F.min("root").alias("_x"), F.max("root").alias("_y"))
-            state = state.join(apart.filter("_x <> _y").select("band"), "band")
-        state = land(state, "buckets")
-        if step == 0:
-            pairs = _hub_pairs(state, F.col("key"))
-            # One hub per class, by aggregation.
-            pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")) \
-                .select("a", "b")
-        elif step <= rounds:
-            pairs = _hub_pairs(state, F.xxhash64("key", "band", F.lit(step))).select("a", "b")
-        else:
-            other = state.select("band", F.col("key").alias("_key"), F.col("root").alias("_root"))
-            pairs = (state.join(other, "band").filter("key < _key and root <> _root")
-                     .select(F.col("key").alias("a"), F.col("_key").alias("b")).distinct())
-        candidates = land(_kept_by_posterior(pairs, classes, percent, miss), "candidates")
-        found = land(_linked(candidates, sets, percent), "found")
-        links = found if links is None else links.unionAll(found)
-        if step and found.isEmpty():
-            continue
-        roots = land(components(links), "roots")
-    return roots
+    candidates = land(_kept_by_posterior(_hub_pairs(members), classes, percent, miss), "candidates")
+    links = land(_linked(candidates, sets, percent), "found")
+    roots = land(components(links), "roots")
+    state = members.join(roots, members["key"] == roots["node"], "left").select(
+        "band", "key", F.coalesce("root", "key").alias("root"))
+    state = land(_apart(state), "apart")
+    counts = land(_shared_counts(sets.join(state.select("key").distinct(), "key")), "shared")
+    state = state.join(counts, "key")
+    least = state.groupBy("band").agg(F.min("n").alias("least"))
+    # Its intersection is at most `shared`, its union at least both sizes less that.
+    state = state.join(least, "band").filter(
+        100 * F.col("shared") >= percent * (
+            F.col("n") + F.greatest("least", "shared") - F.col("shared")))
+    state = land(_apart(state.select("band", "key", "root")), "apart")
+    more = land(_against_components(state, classes, sets, percent, miss), "found")
+    return land(components(links.unionAll(more)), "roots")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT, miss: float = MISS_PROBABILITY,
-                    rounds: int = SPREAD_ROUNDS) -> DataFrame:
+                    percent: int = PERCENT, miss: float = MISS_PROBABILITY) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` per row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of a Jaccard similarity of ``percent``
@@ -215,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_copy")), "left").select(
             "key", "id", F.col("_key").isNotNull().alias("repeated"))
     sets = _sets(docs, id_col, text_col, wanted)
-    roots = link_classes(members, classes, sets, percent, miss, rounds)
+    roots = link_classes(members, classes, sets, percent, miss)
     placed = classes.select("key", "id").join(roots, classes["key"] == roots["node"], "left").select(
         "key", "id", F.coalesce("root", "key").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("id").alias("component"))
