@@ -7,7 +7,9 @@ nothing is shuffled, and a task holds one block.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,16 +29,18 @@ VOCABULARY = "word_bpe_49k.json"
 
 # Fixed pattern of the vocabulary's word split, for lower-case text.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-# Words outside these letters go to the tokenizer as they are.
+# Marks that end many words; an apostrophe may begin a part of its own.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Other words outside these letters go to the tokenizer as they are.
 _PLAIN = regex.compile(r"[\x21-\x7e¡-¬®-įı-ňŊ-ž]+")
-_MEMO = 300_000
+_WORDS_MEMO, _PARTS_MEMO = 1_000_000, 600_000
 
 
 class WordEncoder:
     """Ids of a text as little-endian 32-bit bytes, with memos of words and word parts.
 
     The vocabulary drops white space and never joins across it, so a text's ids are those of its
-    words in a row. Memos are emptied when full. A word of many parts is not kept.
+    words in a row. Memos are emptied when full.
     """
 
     def __init__(self, path: str):
@@ -49,39 +53,58 @@ class WordEncoder:
     def _encoded(self, texts: list[str]) -> list[bytes]:
         # One call for all: batching saves most of the cost of a call.
         made = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(m.ids, dtype="<u4").tobytes() for m in made]
+        return [_little_endian(m.ids) for m in made]
+
+    @staticmethod
+    def _split(text: str) -> list[str] | None:
+        """Parts of a word, or None if only the tokenizer is sure of it."""
+        head = text.rstrip(_MARKS)
+        if head.isalpha() and (head.isascii() or (
+                max(head) <= "\u017e" and "\u0130" not in head and "\u0149" not in head)):
+            head = head.lower()
+            return [head, text[len(head):]] if len(head) < len(text) else [head]
+        return _SPLIT.findall(text.lower()) if _PLAIN.fullmatch(text) else None
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         split, whole, wanted = {}, [], {}
         for word in words:
-            text = word.decode()
-            if _PLAIN.fullmatch(text):
-                parts = split[word] = _SPLIT.findall(text.lower())
-                wanted.update((p, None) for p in parts if p not in self._parts)
-            else:
+            parts = self._split(word.decode())
+            if parts is None:
                 whole.append(word)
-        if len(self._parts) + len(wanted) > _MEMO:
-            self._parts.clear()
+            else:
+                split[word] = parts
+                for p in parts:
+                    if p not in self._parts:
+                        wanted[p] = None
+        if len(self._parts) + len(wanted) > _PARTS_MEMO:
+            self._parts = {}
             wanted = {p: None for parts in split.values() for p in parts}
         self._parts.update(zip(wanted, self._encoded(list(wanted))))
-        found = {w: b"".join(map(self._parts.__getitem__, parts)) for w, parts in split.items()}
+        known = self._parts
+        found = {w: known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+                 for w, parts in split.items()}
         found.update(zip(whole, self._encoded([w.decode() for w in whole])))
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").encode().split() for t in texts]
-        new = set().union(*split).difference(self._words)
-        known = self._words
+        every = set().union(*split)
+        new = every.difference(self._words)
+        if len(self._words) + len(new) > _WORDS_MEMO:
+            self._words, new = {}, every
         if new:
-            found = self._learn(sorted(new))
-            if len(known) + len(found) > _MEMO:
-                known = {**known, **found}
-                self._words = {w: v for w, v in list(found.items())[:_MEMO] if len(w) < 64}
-            else:
-                known.update(found)
+            self._words.update(self._learn(sorted(new)))
+        known = self._words
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
+def _little_endian(ids: list[int]) -> bytes:
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 

@@ -73,7 +73,8 @@ def test_window_rejects_large_sizes():
 
 @pytest.mark.parametrize("text", [
     "It's we'll 'stop' ''s ½²³ 日本 don't,,,'s x1y22", "ΣΑΣ ΑΣ. İstanbul á é ŉa ſ µ ª \x1cq\x1f",
-    "<|endoftext|> <|startoftext|>x", "a" * 3000, "", " \n\t", "é́ ́x &&&*** the&&&"])
+    "<|endoftext|> <|startoftext|>x", "a" * 3000, "", " \n\t", "é́ ́x &&&*** the&&&",
+    "Élan!! Straße. ((x)) İx. ŉ, ž; a'. don't.. 'tis a'b' ÀÉ-x_ -- x\u0301. \u0130\u0149"])
 def test_encoder_equals_tokenizer(text):
     made = packing.WordEncoder(PATH).encode([text, None, text])
     want = token_ids([text])[0][:-1]
@@ -81,7 +82,8 @@ def test_encoder_equals_tokenizer(text):
 
 
 def test_encoder_with_full_memos(monkeypatch):
-    monkeypatch.setattr(packing, "_MEMO", 5)
+    monkeypatch.setattr(packing, "_WORDS_MEMO", 5)
+    monkeypatch.setattr(packing, "_PARTS_MEMO", 5)
     encoder = packing.WordEncoder(PATH)
     texts = ["one two three four five six seven", "six one eight, nine. ten", "zehn élan one two"]
     for _ in range(2):
