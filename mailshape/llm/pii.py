@@ -178,7 +178,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: i
 
 
 _memo: dict[str, list[Span]] = {}
-_memo_of: list[int] = []
+_memo_of: list[str] = []
 
 
 @dataclass
@@ -186,14 +186,13 @@ class Finder:
     """Base spans and added ones of whole texts."""
 
     model: SemiCRF
-    number: int = 0
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         if not self.model.weights:
             return []
-        if _memo_of != [self.number] or len(_memo) > 50_000:
+        if _memo_of != [self.model.key] or len(_memo) > 50_000:
             _memo.clear()
-            _memo_of[:] = [self.number]
+            _memo_of[:] = [self.model.key]
         found = []
         for start, end in regions(text):
             part = text[start:end]
@@ -221,7 +220,7 @@ def _written(spans: list[Span]) -> str:
 def find_spans(model: SemiCRF, text: Column) -> Column:
     """Struct ``(base string, spans string)``: ``kind:start:end`` lists, comma-joined, in code points
     with exclusive ends. Null and empty texts have none."""
-    finder = Finder(model, id(model))
+    finder = Finder(model)
 
     @F.pandas_udf("base string, spans string")
     def find(texts: pd.Series) -> pd.DataFrame:
@@ -252,7 +251,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact(model: SemiCRF, text: Column) -> Column:
     """The text without its spans; null stays null."""
-    finder = Finder(model, id(model))
+    finder = Finder(model)
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Sequence
+from uuid import uuid4
 
 import numpy as np
 
@@ -95,6 +96,7 @@ class SemiCRF:
     """Weights per feature: one number for outside and one for each kind."""
 
     def __init__(self, kinds: Sequence[str]):
+        self.key = uuid4().hex
         self.kinds = list(kinds)
         self.width = len(kinds) + 1
         self.weights: dict[str, np.ndarray] = {}
