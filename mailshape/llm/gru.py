@@ -12,9 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN = 24
+HIDDEN = 16
 WINDOW = 16
 SCORE_WINDOW = 64
+# Training begins anew after so many steps of a text, so that lanes are of like length.
+TRAIN_STEPS = 1024
 
 
 @dataclass(frozen=True)
@@ -238,11 +240,12 @@ class AdaGrad:
                 p[k] -= self.rate * g / np.sqrt(self.seen[k])
 
 
-def train(p: dict, classes: Classes, texts: list[np.ndarray], optimiser: AdaGrad, width: int = 64,
+def train(p: dict, classes: Classes, texts: list[np.ndarray], optimiser: AdaGrad, width: int = 128,
           window: int = WINDOW) -> tuple[float, int]:
     """One pass over the texts, changing ``p``; loss and number of tokens."""
     if not texts:
         return 0.0, 0
+    texts = [t[i:i + TRAIN_STEPS] for t in texts for i in range(0, len(t), TRAIN_STEPS)]
     longest, every = max(map(len, texts)), sum(map(len, texts))
     targets, starts, text = lanes(texts, int(np.clip(every // max(longest, 1), 1, width)))
     h = np.zeros((targets.shape[1], p["u"].shape[0]), dtype=p["u"].dtype)

@@ -61,23 +61,26 @@ def least_matches(percent: int = PERCENT, miss: float = MISS_PROBABILITY) -> lis
 
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n, key, sig)`` per row: set size, 128-bit key of the set, signature (null if empty)."""
+    """``(id, hash, n, key, sig)`` per row: hash of the text, set size, 128-bit key of the set and
+    signature (both null if it is empty)."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, signatures = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 found = shingle_set(text.as_py())
                 sizes.append(len(found))
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 signatures.append(signature(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(signatures, pa.binary())], ["id", "n", "key", "sig"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
+                 pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())],
+                ["id", "hash", "n", "key", "sig"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(
-        profile, f"id {id_type}, n bigint, key binary, sig binary")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"),
+                       F.col(text_col).alias("t")).mapInArrow(
+        profile, f"id {id_type}, hash bigint, n bigint, key binary, sig binary")
 
 
 def _members(classes: DataFrame) -> DataFrame:
@@ -295,12 +298,13 @@ def link_classes(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT, miss: float = MISS_PROBABILITY) -> DataFrame:
-    """``(id, n_shingles, component_id, kept)`` per row of ``docs``.
+    """``(id, n_shingles, component_id, kept, text_hash)`` per row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of a Jaccard similarity of ``percent``
     or more. Texts without words have an empty set and are linked with nothing. Rows with the same id
     are documents of their own; a null id never names a component unless all its ids are null.
-    ``kept`` is true where the id is the component's. Other columns are not read.
+    ``kept`` is true where the id is the component's; ``text_hash`` is Spark's ``xxhash64`` of the
+    text. Other columns are not read.
     """
     profiles = land(_profiles(docs, id_col, text_col), "profiles")
     classes = land(profiles.filter("key is not null").groupBy("key").agg(
@@ -318,9 +322,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = placed.groupBy("root").agg(F.min("id").alias("component"))
     component = placed.join(smallest, "root").select(F.col("key").alias("_key"), "component")
     component = land(component, "components")
-    return profiles.select("id", "n", "key").join(
+    return profiles.select("id", "hash", "n", "key").join(
         component, F.col("key") == F.col("_key"), "left").select(
             F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
             F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component"))
-            .alias("component_id")).withColumn(
+            .alias("component_id"), F.col("hash").alias("text_hash")).withColumn(
                 "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   percent: int = PERCENT) -> DataFrame:
+    """``docs`` with all its columns, one row of each component: one with the component's id.
+
+    Of several texts with that id one is taken by its hash, of equal rows one; texts without words,
+    linked with nothing, are groups by their id.
+    """
+    found = land(near_duplicates(docs, id_col, text_col, percent), "decisions")
+    found = found.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "kept",
+                         "component_id", (F.col("n_shingles") == 0).alias("_empty"))
+    groups = ["component_id", "_empty"]
+    first = found.filter("kept").groupBy(*groups).agg(F.min("_hash").alias("_first"))
+    kept = found.filter("kept").join(first.select(
+        F.col("component_id").alias("_c"), F.col("_empty").alias("_e"), "_first"),
+        F.col("component_id").eqNullSafe(F.col("_c")) & (F.col("_empty") == F.col("_e")))
+    lost = found.filter("not kept").select("_id", "_hash").unionAll(
+        kept.filter("_hash <> _first").select("_id", "_hash")).distinct()
+    again = found.groupBy("_id", "_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select(
+        F.col("_id").alias("_again"), F.col("_hash").alias("_again_hash"))
+    mark = docs.withColumn("_text_hash", F.xxhash64(text_col))
+    stay = mark.join(lost, F.col(id_col).eqNullSafe(F.col("_id"))
+                     & (F.col("_text_hash") == F.col("_hash")), "left_anti")
+    same = F.col(id_col).eqNullSafe(F.col("_again")) & (F.col("_text_hash") == F.col("_again_hash"))
+    single = stay.join(again, same, "left_anti")
+    # Rows that stand in the table more than once, usually none.
+    repeated = stay.join(again, same, "left_semi").dropDuplicates([id_col, "_text_hash"])
+    return single.unionAll(repeated).drop("_text_hash")

@@ -157,7 +157,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
                    block_documents: int = BLOCK_DOCUMENTS, end_id: int = END_ID,
                    with_ids: bool = True) -> DataFrame:
     """One row per piece: ``id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and,
-    if ``with_ids``, ``ids`` (array<bigint>).
+    if ``with_ids``, ``ids`` (array<int>).
 
     Each document ends with ``end_id``, so a null or empty text is one piece of one id. Each row is a
     document of its own, repeated or null ids included; other columns are not read; no rows give no
@@ -167,7 +167,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     id_type = docs.schema[id_col].dataType.simpleString()
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = ", ".join([f"`{id_col}` {id_type}", *[f"{n} bigint" for n in names],
-                        *(["ids array<bigint>"] if with_ids else [])])
+                        *(["ids array<int>"] if with_ids else [])])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary)
@@ -188,8 +188,9 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
                     [len(texts[p[0]]) // 4 for p in pieces], [base + p[3] for p in pieces],
                     [p[4] for p in pieces])]]
             if with_ids:
-                columns.append(pa.array([np.frombuffer(v, "<u4").astype(np.int64) for v in views],
-                                        pa.list_(pa.int64())))
+                ends = np.cumsum([0, *[p[2] for p in pieces]], dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array(np.frombuffer(b"".join(views), "<i4"))))
             base += max((p[3] for p in pieces), default=-1) + 1
             return pa.RecordBatch.from_arrays(
                 columns, [id_col, *names, *(["ids"] if with_ids else [])])

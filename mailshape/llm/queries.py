@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.llm import decontam, htmltree, neardup, packing, pii, quality, toxicity, urlfilter
+from mailshape.llm import decontam, htmltree, lm, neardup, packing, pii, quality, toxicity, urlfilter
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
 LISTED_HOSTS = r"ads|adult|bets|casino|pills|spam"
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(table(spark, folder, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, folder, "documents"))
+    return neardup.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
 
 
 def op5_html(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,4 +68,9 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
                                  pages.filter(host.rlike(LISTED_HOSTS)))
 
 
-QUERIES = {f.__name__: f for f in [op2_decontamination, op3_minhash, op5_html, op6_pii, op7_toxicity, op8_packing, op9_quality_rules, op10_url_filters]}
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES = {f.__name__: f for f in [op1_lm_scoring, op2_decontamination, op3_minhash, op5_html, op6_pii, op7_toxicity, op8_packing, op9_quality_rules, op10_url_filters,
+                                pipeline]}
