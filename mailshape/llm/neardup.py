@@ -298,13 +298,14 @@ def link_classes(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT, miss: float = MISS_PROBABILITY) -> DataFrame:
-    """``(id, n_shingles, component_id, kept, text_hash)`` per row of ``docs``.
+    """``(id, n_shingles, component_id, kept, text_hash, group)`` per row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of a Jaccard similarity of ``percent``
     or more. Texts without words have an empty set and are linked with nothing. Rows with the same id
     are documents of their own; a null id never names a component unless all its ids are null.
     ``kept`` is true where the id is the component's; ``text_hash`` is Spark's ``xxhash64`` of the
-    text. Other columns are not read.
+    text, ``group`` names the component whatever its ids, null without words. Other columns are not
+    read.
     """
     profiles = land(_profiles(docs, id_col, text_col), "profiles")
     classes = land(profiles.filter("key is not null").groupBy("key").agg(
@@ -320,13 +321,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = classes.select("key", "id").join(roots, classes["key"] == roots["node"], "left").select(
         "key", "id", F.coalesce("root", "key").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("id").alias("component"))
-    component = placed.join(smallest, "root").select(F.col("key").alias("_key"), "component")
+    component = placed.join(smallest, "root").select(
+        F.col("key").alias("_key"), "component", F.col("root").alias("group"))
     component = land(component, "components")
     return profiles.select("id", "hash", "n", "key").join(
         component, F.col("key") == F.col("_key"), "left").select(
             F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
             F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component"))
-            .alias("component_id"), F.col("hash").alias("text_hash")).withColumn(
+            .alias("component_id"), F.col("hash").alias("text_hash"), "group").withColumn(
                 "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
@@ -338,13 +340,14 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     linked with nothing, are groups by their id.
     """
     found = land(near_duplicates(docs, id_col, text_col, percent), "decisions")
-    found = found.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "kept",
-                         "component_id", (F.col("n_shingles") == 0).alias("_empty"))
-    groups = ["component_id", "_empty"]
-    first = found.filter("kept").groupBy(*groups).agg(F.min("_hash").alias("_first"))
-    kept = found.filter("kept").join(first.select(
-        F.col("component_id").alias("_c"), F.col("_empty").alias("_e"), "_first"),
-        F.col("component_id").eqNullSafe(F.col("_c")) & (F.col("_empty") == F.col("_e")))
+    # Without words a row's group is its id.
+    alone = F.when(F.col("group").isNull(), F.col(id_col))
+    found = found.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "kept", "group",
+                         alone.alias("_alone"))
+    first = found.filter("kept").groupBy("group", "_alone").agg(F.min("_hash").alias("_first"))
+    kept = found.filter("kept").join(
+        first.select(F.col("group").alias("_g"), F.col("_alone").alias("_a"), "_first"),
+        F.col("group").eqNullSafe(F.col("_g")) & F.col("_alone").eqNullSafe(F.col("_a")))
     lost = found.filter("not kept").select("_id", "_hash").unionAll(
         kept.filter("_hash <> _first").select("_id", "_hash")).distinct()
     again = found.groupBy("_id", "_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select(

@@ -22,7 +22,7 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
+    return neardup.near_duplicates(table(spark, folder, "documents")).drop("text_hash", "group")
 
 
 def op5_html(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,5 +72,6 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in [op1_lm_scoring, op2_decontamination, op3_minhash, op5_html, op6_pii, op7_toxicity, op8_packing, op9_quality_rules, op10_url_filters,
-                                pipeline]}
+QUERIES = {f.__name__: f for f in [
+    op1_lm_scoring, op2_decontamination, op3_minhash, op5_html, op6_pii, op7_toxicity, op8_packing,
+    op9_quality_rules, op10_url_filters, pipeline]}
