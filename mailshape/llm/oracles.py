@@ -44,4 +44,26 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN l.key IS NULL THEN
 FROM j LEFT JOIN l USING (key) WHERE o = 1
 """
 
-ORACLES = {"op9_quality_rules": QUALITY, "op10_url_filters": URLS}
+REVISITS = r"""
+WITH u AS (SELECT page_id, '"' || substr(md5(html), 1, 12) || '"' AS tag, length(html) AS size, url,
+                  regexp_replace(substr(url, instr(url, '://') + 3), '#.*$', '') AS rest FROM pages),
+p AS (SELECT *, regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www\.|:(80|443)$', '', 'g')
+             || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '(/|\.html?)$', '') AS head,
+             array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+               lambda f: f <> '' AND NOT regexp_matches(f, '^(utm_[a-z]+|ref|fbclid|gclid)='))), '&') AS q FROM u),
+k AS (SELECT *, head || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS key FROM p),
+f AS (SELECT key, 2 * page_id AS id, 2 * page_id AS t, tag, size FROM k),
+r AS (SELECT key, 2 * page_id + 1 AS id, 2 * page_id + 1 + 2 * (37 * page_id % 100) AS t, tag FROM k),
+j AS (SELECT r.*, f.id AS fid, f.t AS ft, f.tag AS ftag, f.size,
+             row_number() OVER (PARTITION BY r.id ORDER BY f.t DESC NULLS LAST, f.id DESC) AS o
+      FROM r LEFT JOIN f ON r.key = f.key AND (f.t, f.id) < (r.t, r.id))
+SELECT id AS record_id, key AS url_key, t AS time, fid AS response_id, ft AS response_time,
+       CASE WHEN fid IS NULL THEN 'no_response' WHEN tag = ftag THEN 'resolved' ELSE 'changed' END AS verdict,
+       CASE WHEN tag = ftag THEN 'cache-control: max-age=60' || chr(10) || 'content-length: ' || size || chr(10) ||
+              'content-type: text/html' || chr(10) || 'date: ' || t || chr(10) || 'etag: W/' || tag
+            ELSE 'cache-control: max-age=60' || chr(10) || 'content-length: 0' || chr(10) || 'date: ' || t || chr(10) ||
+              'etag: W/' || tag END AS headers
+FROM j WHERE o = 1
+"""
+
+ORACLES = {"op4_revisits": REVISITS, "op9_quality_rules": QUALITY, "op10_url_filters": URLS}

@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.llm import decontam, htmltree, lm, neardup, packing, pii, quality, toxicity, urlfilter
+from mailshape.llm import decontam, htmltree, lm, neardup, packing, pii, quality, toxicity, urlfilter, warc
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
@@ -25,6 +25,11 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents")).drop("text_hash", "group")
 
 
+def op4_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.captures(table(spark, folder, "pages")))
+    return found.withColumn("headers", warc.header_lines(F.col("headers")))
+
+
 def op5_html(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return htmltree.extract(pages, htmltree.fit(pages))
@@ -73,5 +78,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in [
-    op1_lm_scoring, op2_decontamination, op3_minhash, op5_html, op6_pii, op7_toxicity, op8_packing,
+    op1_lm_scoring, op2_decontamination, op3_minhash, op4_revisits, op5_html, op6_pii, op7_toxicity, op8_packing,
     op9_quality_rules, op10_url_filters, pipeline]}
