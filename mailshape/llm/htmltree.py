@@ -157,7 +157,7 @@ class TreeModel:
             table[labels[nodes[i].parent], labels[i]] += 1
         return grad, edges
 
-    def fit(self, pages: list[tuple[list[Block], list[int]]], epochs: int = 6, rate: float = 0.2,
+    def fit(self, pages: list[tuple[list[Block], list[int]]], epochs: int = 10, rate: float = 0.2,
             penalty: float = 1e-3) -> "TreeModel":
         seen: dict[str, float] = {}
         edge_seen = {k: np.full((2, 2), 1e-6) for k in self.edges}
@@ -242,9 +242,9 @@ def rewritten(source: str, others: list[str], seed: int) -> str:
             body = "<ul>" + "".join(f'<li><a href="/{i}">{rng.choice(words)}</a></li>'
                                     for i in range(rng.randrange(2, 7))) + "</ul>"
         elif use == "short":
-            body = rng.choice(["{}", "<p>{}</p>"]).format(" ".join(words[:rng.randrange(1, 12)]))
+            body = rng.choice(["{}", "<p>{}</p>", "<h1>{}</h1>", "<h3>{}</h3>"]).format(" ".join(words[:rng.randrange(1, 12)]))
         else:
-            size = rng.randrange(5, 60)
+            size = rng.choice([2, 4, 8, 20, 60])
             body = "".join(f"<p>{' '.join(words[i * size:(i + 1) * size])}</p>"
                            for i in range(rng.randrange(1, 4)))
         return f"{opening}{body}</{tag}>"

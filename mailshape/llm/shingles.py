@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 SHINGLE_WORDS = 5
-_MEMO = 400_000
+_MEMO = 150_000
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_BASE, k, 1 << 64) for k in range(SHINGLE_WORDS)], dtype=np.uint64)
 
