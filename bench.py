@@ -33,7 +33,8 @@ def drain(df) -> None:
 
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", {
-        "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": CPUS, "mailshape.text.partitions": CPUS,
+        "spark.ui.enabled": "false",
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
     drain(Q.QUERIES["structural_features_pages"](spark, FOLDER))

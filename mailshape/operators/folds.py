@@ -14,8 +14,11 @@ def fold_ranges(df: DataFrame, k: int = FOLDS, key: str = "mail_id") -> DataFram
 
     Classes count in the order of their first appearance. If the labels were sorted in that order,
     row ``j`` would belong to fold ``j mod k``; the number of rows a class gets in a fold follows
-    from this, and then each class hands its rows out in blocks of these sizes.
+    from this, and then each class hands its rows out in blocks of these sizes. Rows without a label
+    are refused, as in training.
     """
+    if not df.filter("label is null").isEmpty():
+        raise ValueError("folds need a label in every row: drop or label the others first")
     order = [F.col(key)]
     blocks = range_blocks(df.select(key, "label"), order, "folds")
     sizes = blocks.groupBy("label").agg(

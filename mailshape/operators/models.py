@@ -19,7 +19,6 @@ from mailshape.session import land
 LOGISTIC_ITERATIONS = 1000
 SVM_ITERATIONS = 2000
 TOLERANCE = 1e-4
-ROWS_PER_TASK = 50_000
 
 
 class RidgeClassifier(Estimator):
@@ -39,11 +38,13 @@ class RidgeClassifier(Estimator):
         # Hundreds of iterations follow, each a job over these rows: landed, they have a lineage of one
         # scan, to repeat if an executor is lost, and a task description without the text stages.
         rows = land(dataset.select("label", "features"), "features")
-        n, positives = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1)).first()
+        n, positives, unlabelled = rows.agg(
+            F.count(F.lit(1)), F.count_if(F.col("label") == 1),
+            F.count_if(F.col("label").isNull())).first()
+        if unlabelled:
+            raise ValueError(f"{unlabelled} rows have no label: drop or label them first")
         if not 0 < positives < n:
             raise ValueError("training needs mails of both classes")
-        # A job over few rows is all scheduling: do not spread them over more tasks than worthwhile.
-        rows = rows.coalesce(max(1, n // ROWS_PER_TASK))
         settings = dict(regParam=1.0 / (self.c * n), standardization=False, tol=TOLERANCE,
                         featuresCol="features", labelCol="label")
         if self.balanced:

@@ -8,22 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailshape.session import land
 
-# A lookup table is broadcast only up to this many rows (a few dozen bytes each); beyond it the
-# same rows come from a salted shuffle join.
-BROADCAST_ROWS = 1_000_000
-SALTS = 16
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over all cores if the scan would occupy a quarter of them or less.
-
-    Text work is heavy per row, and an input of few unsplittable pieces (one row group, one CSV file)
-    would leave most cores idle. A large input has tasks enough and passes unchanged, unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 4 * df.rdd.getNumPartitions() <= cores else df
-
-
 def exploded(df: DataFrame, keep: Sequence[str], array_col: str, item: str) -> DataFrame:
     """One row per array element, with the columns ``keep``.
 
@@ -36,15 +20,15 @@ def exploded(df: DataFrame, keep: Sequence[str], array_col: str, item: str) -> D
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
-                broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+                salts: int = 1) -> DataFrame:
     """Join ``facts`` with a ``lookup`` that has one row per ``key``.
 
-    ``lookup`` is counted first, so it should be landed or cheap. A counted-small lookup is
-    broadcast. A larger one is repeated once per salt and joined on (key, salt), which spreads a
-    key that holds a large part of ``facts`` over ``salts`` tasks. Both give the same rows.
+    Without a hint: Spark broadcasts the lookup by its size in bytes, and else splits a key that
+    holds a large part of ``facts`` at run time. With ``salts`` above 1 the lookup is repeated once
+    per salt and joined on (key, salt), for clusters that run without adaptive execution.
     """
-    if lookup.count() <= broadcast_rows:
-        return facts.join(F.broadcast(lookup), key, how)
+    if salts == 1:
+        return facts.join(lookup, key, how)
     # The salt hangs on the row's content, not on chance, so that a re-run task repeats it.
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

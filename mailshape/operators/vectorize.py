@@ -1,8 +1,9 @@
 """Text and numeric feature transforms as ``pyspark.ml`` stages.
 
 Stages hold what they learned from the frame they were fitted on, so that refitting a whole pipeline
-per fold leaks nothing. The estimators below return built-in JVM models and transformers: applying
-and saving a fitted pipeline needs none of this code, and no row ever goes through Python.
+per fold leaks nothing. The estimators of terms and scaling return built-in JVM models and
+transformers: applying and saving their pipelines needs none of this code. The model of centroids is a
+transformer of this module over built-in ones; no row ever goes through Python.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mailshape.functions.structural import STRUCTURAL_COLUMNS
-from mailshape.operators.scale import BROADCAST_ROWS, exploded, lookup_join
+from mailshape.operators.scale import exploded, lookup_join
 
 MAX_TERMS = 5000
 # Fixed pattern: words of two or more characters on cleaned (ASCII, lower-case) text.
@@ -27,10 +28,13 @@ TERM_PATTERN = r"\p{Alnum}{2,}"
 
 # Fixed settings of the embedding.
 VECTOR_SIZE, WINDOW_SIZE, MIN_COUNT, EPOCHS, SEED = 50, 5, 5, 5, 12345
+# Partitions are trained apart and averaged every epoch, so their number is a setting of the model.
+TRAINING_PARTITIONS = 4
+# Longer texts are windows of this many tokens: no word is lost, contexts across a cut are.
 SENTENCE_LIMIT = 10_000
-# Training keeps two float vectors per word on the driver and in every task.
-MAX_EMBEDDING_BYTES = 1 << 30
-WORDS_PER_TRAINING_PARTITION = 250_000
+# The trainer keeps two float vectors per word on the driver and in every task, so the rows it learns
+# from are bounded, about, by a hash of the tokens; None takes all.
+FIT_ROWS: int | None = None
 
 
 def default_stop_words() -> list[str]:
@@ -186,36 +190,28 @@ class CentroidVectorizer(Estimator):
 
     def __init__(self, vector_size: int = VECTOR_SIZE, window: int = WINDOW_SIZE,
                  min_count: int = MIN_COUNT, epochs: int = EPOCHS, seed: int = SEED,
+                 num_partitions: int = TRAINING_PARTITIONS, fit_rows: int | None = FIT_ROWS,
                  input_col: str = "tokens", output_col: str = "text_features"):
         super().__init__()
         self.vector_size, self.window, self.min_count = vector_size, window, min_count
         self.epochs, self.seed = epochs, seed
+        self.num_partitions, self.fit_rows = num_partitions, fit_rows
         self.input_col, self.output_col = input_col, output_col
 
-    @staticmethod
-    def _partitions(dataset: DataFrame, words: int) -> int:
-        """One per :data:`WORDS_PER_TRAINING_PARTITION`, one per core at most. Partitions train apart and are
-        averaged every epoch, so a small corpus gets a single one."""
-        cores = dataset.sparkSession.sparkContext.defaultParallelism
-        return max(1, min(cores, words // WORDS_PER_TRAINING_PARTITION))
-
     def _fit(self, dataset: DataFrame) -> CentroidModel:
         tokens = dataset.select(self.input_col)
-        sizes = (
+        if self.fit_rows is not None:
+            share = int((1 << 31) * min(1.0, self.fit_rows / max(1, tokens.count())))
+            tokens = tokens.filter(F.pmod(F.xxhash64(self.input_col), F.lit(1 << 31)) < share)
+        frequent = (
             exploded(tokens, [], self.input_col, "word").groupBy("word")
-            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= self.min_count)
-            .agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-            .first())
-        if not sizes.words:
+            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= self.min_count))
+        if frequent.isEmpty():
             raise ValueError(f"no word occurs {self.min_count} times: nothing to embed")
-        needed = 2 * 4 * self.vector_size * sizes.words
-        if needed > MAX_EMBEDDING_BYTES:
-            raise ValueError(
-                f"{sizes.words} words need {needed} bytes of vectors per task; raise min_count")
         embedding = Word2Vec(
             vectorSize=self.vector_size, windowSize=self.window, minCount=self.min_count,
             maxIter=self.epochs, seed=self.seed, maxSentenceLength=SENTENCE_LIMIT,
-            numPartitions=self._partitions(dataset, sizes.total),
+            numPartitions=self.num_partitions,
             inputCol=self.input_col, outputCol="_mean").fit(tokens)
         known = [row.word for row in embedding.getVectors().select("word").collect()]
         counter = CountVectorizerModel.from_vocabulary(known, self.input_col, "_hits")
@@ -233,15 +229,11 @@ def centroids(df: DataFrame, word_vectors: DataFrame, size: int, text_col: str =
               key: str = "mail_id") -> DataFrame:
     """Centroids from a given table ``(word, vector)``: ``(key, n_known, centroid)`` for every mail.
 
-    The dimensions are summed as ``size`` columns, not as exploded rows. With a table counted small
-    the tokens are joined and summed where they are, and one row per mail is shuffled; for a larger
-    table the repeats of a word within a mail are counted before they go through the join.
+    The dimensions are summed as ``size`` columns, not as exploded rows. The repeats of a word within
+    a mail are counted before they go through the join, which carries no hint.
     """
     tokens = df.select(key, F.explode(F.split(text_col, " ")).alias("word"))
-    if word_vectors.count() <= BROADCAST_ROWS:
-        words = tokens.withColumn("n", F.lit(1).cast("bigint"))
-    else:
-        words = tokens.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+    words = tokens.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
     sums = lookup_join(words, word_vectors, "word").groupBy(key).agg(
         F.sum("n").alias("n_known"),
         *[F.sum(F.col("n") * F.col("vector")[i].cast("double")).alias(f"_d{i}")

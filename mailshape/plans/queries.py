@@ -237,7 +237,7 @@ def doc_centroid(spark: SparkSession, folder: str) -> DataFrame:
     mails = prepared_all(spark, folder).select("mail_id", "text")
     given = tables.table(spark, folder, "embeddings").withColumn("rank", F.col("vec_id") + 1)
     vectors = land(
-        vectorize.top_vocabulary(_terms(spark, folder, (1, 1)))
+        vectorize.top_vocabulary(_terms(spark, folder, (1, 1)), size=given.count())
         .join(given, "rank").select(F.col("term").alias("word"), F.col("embedding").alias("vector")),
         "word_vectors")
     size = vectors.select(F.max(F.size("vector"))).first()[0]

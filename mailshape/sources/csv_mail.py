@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 MAIL_COLUMNS = ["mail_id", "subject", "sender", "body", "label"]
 
@@ -21,12 +22,17 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw string columns of one file or a folder of files, plus ``mail_id`` in file order.
 
     Bodies may span lines, so one file is one task: keep files of moderate size and land the result
-    as parquet once. ``mail_id`` is (rank of the file name, position in the file) in one number.
+    as parquet once. All files of a folder must have the same header, else reading fails; read folders
+    of another layout apart and take the union. ``mail_id`` is (rank of the file name, position in the file) in one number.
     """
-    raw = (
-        spark.read.option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').option("nullValue", "").csv(path)
-    )
+    reader = (spark.read.option("header", True).option("multiLine", True)
+              .option("quote", '"').option("escape", '"').option("nullValue", ""))
+    names = reader.csv(path).columns
+    # Each file's header is held against the first one's: another order of columns is an error. A
+    # blank name, which Spark replaces by a number, has to be blank again for that.
+    header = StructType([StructField("" if n == f"_c{i}" else n, StringType())
+                         for i, n in enumerate(names)])
+    raw = reader.schema(header).option("enforceSchema", False).csv(path).toDF(*names)
     cells = raw.select(
         *[F.when(~F.col(f"`{c}`").isin(NA_STRINGS), F.col(f"`{c}`")).alias(c)
           for c in raw.columns],

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.operators.scale import spread
+# Splits that a text table is read in, where the caller or the configuration names a number.
+PARTITIONS_CONF = "mailshape.text.partitions"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spread(table(spark, folder, name))
+def text_table(spark: SparkSession, folder: str, name: str,
+               partitions: int | None = None) -> DataFrame:
+    """A table whose rows are heavy to work on, dealt out over ``partitions`` tasks if that is given
+    (or set as ``mailshape.text.partitions``), as for a file of one row group; else as it lies."""
+    rows = table(spark, folder, name)
+    partitions = partitions or int(spark.conf.get(PARTITIONS_CONF, "0"))
+    return rows.repartition(partitions) if partitions else rows
 
 
 def documents_as_mail(documents: DataFrame) -> DataFrame:

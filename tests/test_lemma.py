@@ -67,7 +67,7 @@ def test_salted_lookup_gives_the_same_rows(spark, how):
         [(i, "hot" if i % 3 else f"k{i}") for i in range(300)], "id bigint, key string")
     lookup = spark.createDataFrame([("hot", 1), ("k0", 2), ("k9", 3)], "key string, v int")
     small = lookup_join(facts, lookup, "key", how)
-    large = lookup_join(facts, lookup, "key", how, broadcast_rows=1, salts=5)
+    large = lookup_join(facts, lookup, "key", how, salts=5)
     key = lambda r: (r.id, r.key, r.v or 0)
     assert sorted(map(key, small.collect())) == sorted(map(key, large.collect()))
     assert large.count() == (202 if how == "inner" else 300)

@@ -6,9 +6,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from mailshape.operators import models, vectorize
+from mailshape.operators import folds, models, vectorize
 from mailshape.operators.prepare import preprocess
-from mailshape.operators.scale import lookup_join
 from mailshape.plans import compare
 from mailshape.session import land
 
@@ -77,13 +76,13 @@ def test_centroids_average_known_words_only(spark):
     assert [(r.n_known, r.centroid) for r in rows] == [(3, [1.0, 2.0]), (0, [0.0, 0.0]), (0, [0.0, 0.0])]
 
 
-def test_centroids_are_the_same_beyond_the_broadcast_bound(spark, monkeypatch):
-    df = spark.createDataFrame([(i, "a b b zz") for i in range(9)], "mail_id int, text string")
-    vectors = spark.createDataFrame([("a", [3.0, 0.0]), ("b", [0.0, 3.0])], "word string, vector array<double>")
-    monkeypatch.setattr(vectorize, "BROADCAST_ROWS", 1)
-    monkeypatch.setattr(vectorize, "lookup_join", lambda *a: lookup_join(*a, broadcast_rows=1))
-    rows = vectorize.centroids(df, vectors, 2).collect()
-    assert [(r.n_known, r.centroid) for r in rows] == [(3, [1.0, 2.0])] * 9
+def test_rows_without_a_label_are_refused_on_both_paths(spark):
+    df = spark.createDataFrame([(1, "a b", 1), (2, "c d", 0), (3, "e f", None)],
+                               "mail_id bigint, text string, label int")
+    with pytest.raises(ValueError, match="label"):
+        models.train_text_model(df, use_structural=False, ngram_range=(1, 1))
+    with pytest.raises(ValueError, match="label"):
+        folds.with_folds(df, 2)
 
 
 def test_trained_centroids_match_their_word_vectors(spark, train):

@@ -38,6 +38,17 @@ def test_number_label_csv_over_files_in_name_order(spark, tmp_path):
     assert len({r.mail_id for r in rows}) == 53
 
 
+def test_files_of_other_column_order_are_refused(spark, tmp_path):
+    write(tmp_path / "d" / "a.csv", "label,subject,email_from,message\n0,s1,f1,m1\n")
+    write(tmp_path / "d" / "b.csv", "subject,label,message,email_from\ns2,1,m2,f2\n")
+    with pytest.raises(Exception, match="header"):
+        load_training_mails(spark, str(tmp_path / "d")).collect()
+    write(tmp_path / "e" / "a.csv", "label,subject,email_from,message\n0,s1,f1,m1\n")
+    write(tmp_path / "e" / "b.csv", "Subject,Message,Spam/Ham\ns2,m2,spam\n")
+    with pytest.raises(Exception):
+        load_training_mails(spark, str(tmp_path / "e")).collect()
+
+
 def test_first_layout_wins_and_unknown_is_rejected(spark, tmp_path):
     both = write(tmp_path / "both.csv",
                  "Subject,Message,Spam/Ham,label,subject_,email_from,message_\nS,M,spam,0,x,y,z\n")
