@@ -271,9 +271,10 @@ def fit(pages: DataFrame, html_col: str = "html", most: int = SAMPLE_PAGES,
         chars: int = SAMPLE_CHARS) -> TreeModel:
     """Train on ``most`` pages of up to ``chars`` that have an article, by a hash, as they are and
     twice rewritten. Without such pages the model is untrained and takes no text."""
+    # Tasks keep their smallest hashes only, so no more than `most` pages a task meet.
     sample = [r[0] for r in pages.select(html_col).filter(
-        F.col(html_col).contains("<article") & (F.length(html_col) <= chars)).distinct().orderBy(
-            F.xxhash64(html_col)).limit(most).collect()]
+        F.col(html_col).contains("<article") & (F.length(html_col) <= chars)).orderBy(
+            F.xxhash64(html_col), html_col).limit(most).collect()]
     texts = ["\n".join(b.text for b in read(s) if not b.tag) for s in sample]
     sources = []
     for i, source in enumerate(sample):
