@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from mailshape.llm.components import components
-from mailshape.llm.shingles import mixed, shingle_set
+from mailshape.llm.shingles import mixed, shingle_set, slices
 from mailshape.session import land
 
 # Fixed threshold of the contract: 100 * intersection >= 75 * union.
@@ -66,7 +66,7 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, keys, signatures = [], [], []
             for text in batch.column(2):
                 found = shingle_set(text.as_py())
@@ -118,7 +118,7 @@ def _kept_by_posterior(pairs: DataFrame, classes: DataFrame, percent: int, miss:
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             good = []
             for left, right in zip(batch.column(2), batch.column(3)):
                 one, two = (np.frombuffer(x.as_py(), "<u8") for x in (left, right))
@@ -136,7 +136,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
     """``(key, set)``, once per class in ``wanted`` (``key``, ``id`` of one row, ``repeated``)."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raw = [shingle_set(text.as_py()).tobytes() for text in batch.column(2)]
             # Of rows with the same id only those that have this very set count.
             mask = pa.array([xxhash.xxh3_128_digest(r) == k.as_py()
@@ -242,7 +242,7 @@ def _against_components(state: DataFrame, classes: DataFrame, sets: DataFrame, p
                     return keys[i]
             return None
 
-        for batch in batches:
+        for batch in slices(batches):
             a, b = [], []
             for root, block, side, key, sig, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 if (root, block) != place:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 SHINGLE_WORDS = 5
@@ -26,6 +29,13 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """Short runs of rows, so that what is made of a run's long texts stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def words(text: str | None) -> list[bytes]:
     """Runs without ASCII white space, A-Z lower-cased."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
