@@ -54,9 +54,11 @@ def main() -> None:
     train, test = timed("prepare_corpora", lambda: Q.prepared_corpora(spark, FOLDER))
     timed("profile", lambda: [drain(t) for t in profile.profile(
         prepare.corpus_union(train, test)).values()])
+    # As in a full run: one set of folds, four models with cross-validation, then the word vectors.
+    folded = timed("folds", lambda: compare.landed_folds(train))
     for settings in compare.TEXT_MODELS:
-        timed(f"fit_score_{compare.model_tag(settings.name)}", lambda: drain(
-            compare.run_text_model(settings, train, test, do_cv=False).metrics))
+        timed(f"cv_fit_score_{compare.model_tag(settings.name)}", lambda: drain(
+            compare.run_text_model(settings, train, test, folded).metrics))
     timed("fit_score_word2vec", lambda: drain(compare.run_embedding_model(train, test).metrics))
 
     print(json.dumps({

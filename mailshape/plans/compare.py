@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mailshape.operators import evaluate, models
 from mailshape.operators.folds import FOLDS, with_folds
+from mailshape.operators.vectorize import feature_columns
 from mailshape.session import land
 
 
@@ -63,14 +64,18 @@ class CrossValidation:
         return 2.0 * pstdev(self.scores)
 
 
-def cross_validate(pipeline: Pipeline, train: DataFrame, k: int = FOLDS,
-                   parallelism: int = FOLDS) -> CrossValidation:
-    """Refit the whole pipeline per stratified fold and on all of ``train``, several fits at a time.
+def landed_folds(train: DataFrame, k: int = FOLDS) -> DataFrame:
+    """What a fit needs of ``train``, with its fold, landed by fold: once for all models."""
+    columns = ["mail_id", "label", *feature_columns()]
+    return land(with_folds(train.select(*columns), k), "folded", partition_by="fold")
+
 
-    The folds are landed once. (The built-in validator would check its fold column with a Python
-    function per row and cache every fold's rows.)
+def cross_validate(pipeline: Pipeline, folded: DataFrame, k: int = FOLDS,
+                   parallelism: int = FOLDS) -> CrossValidation:
+    """Refit the whole pipeline per fold of :func:`landed_folds` and on all rows, several fits at a
+    time. (The built-in validator would check its fold column with a Python function per row and cache
+    every fold's rows.)
     """
-    folded = land(with_folds(train, k), "folded")
     held = F.col("fold")
 
     def score(fold: int) -> float:
@@ -78,16 +83,16 @@ def cross_validate(pipeline: Pipeline, train: DataFrame, k: int = FOLDS,
         return evaluate.binary_metrics(
             models.predict(model, folded.filter(held == fold))).first().f1
 
-    session = train.sparkSession
+    session = folded.sparkSession
     with ThreadPoolExecutor(parallelism) as pool:
         scores = [pool.submit(inheritable_thread_target(session)(score), fold) for fold in range(k)]
         model = pool.submit(inheritable_thread_target(session)(pipeline.fit), folded)
         return CrossValidation(model.result(), [s.result() for s in scores])
 
 
-def cv_summary(validated: CrossValidation, name: str, train: DataFrame) -> DataFrame:
+def cv_summary(validated: CrossValidation, name: str, folded: DataFrame) -> DataFrame:
     """Mean F1 over the folds and twice its population deviation."""
-    return train.sparkSession.range(1).select(
+    return folded.sparkSession.range(1).select(
         F.lit(name).alias("model"), F.lit(validated.mean).alias("cv_f1_mean"),
         F.lit(validated.spread).alias("cv_f1_spread"))
 
@@ -124,13 +129,14 @@ def _run(name: str, model: PipelineModel, predictions: DataFrame, cv_mean: float
     return ModelRun(name, metrics, model, predictions)
 
 
-def run_text_model(settings: TextModel, train: DataFrame, test: DataFrame, do_cv: bool = True,
+def run_text_model(settings: TextModel, train: DataFrame, test: DataFrame,
+                   folded: DataFrame | None = None,
                    stop_words: Sequence[str] | None = None) -> ModelRun:
-    """Fit on ``train`` (cross-validating on the way) and score ``test``."""
+    """Fit on ``train`` and score ``test``; with ``folded`` rows of it, cross-validate on the way."""
     pipeline = pipeline_for(settings, stop_words)
     mean = spread = None
-    if do_cv:
-        validated = cross_validate(pipeline, train)
+    if folded is not None:
+        validated = cross_validate(pipeline, folded)
         model, mean, spread = validated.model, validated.mean, validated.spread
     else:
         model = pipeline.fit(train)
@@ -145,7 +151,8 @@ def run_embedding_model(train: DataFrame, test: DataFrame, **settings) -> ModelR
 def run_models(train: DataFrame, test: DataFrame, do_cv: bool = True,
                stop_words: Sequence[str] | None = None) -> list[ModelRun]:
     """The five runs. If the embedding model fails, its metrics row says so and the rest stands."""
-    runs = [run_text_model(m, train, test, do_cv, stop_words) for m in TEXT_MODELS]
+    folded = landed_folds(train) if do_cv else None
+    runs = [run_text_model(m, train, test, folded, stop_words) for m in TEXT_MODELS]
     try:
         runs.append(run_embedding_model(train, test))
     except Exception as error:  # any failure of this leg is reported in its row

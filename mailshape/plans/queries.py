@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -288,15 +289,16 @@ def model_word2vec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = prepared_corpora(spark, folder)
-    settings = compare.TEXT_MODELS[1]
-    validated = compare.cross_validate(compare.pipeline_for(settings), train)
-    return compare.cv_summary(validated, settings.name, train)
+    """All four term models over the same folds."""
+    folded = compare.landed_folds(prepared_corpora(spark, folder)[0])
+    return reduce(DataFrame.unionByName, [
+        compare.cv_summary(compare.cross_validate(compare.pipeline_for(m), folded), m.name, folded)
+        for m in compare.TEXT_MODELS])
 
 
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    """The five models on the foreign corpus; cross-validation has a query of its own."""
-    return compare.compare_models(*prepared_corpora(spark, folder), do_cv=False)
+    """The five models on the foreign corpus, four of them cross-validated."""
+    return compare.compare_models(*prepared_corpora(spark, folder))
 
 
 QUERIES: dict[str, Query] = {

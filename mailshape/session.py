@@ -46,16 +46,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder as parquet and return a scan of what was written.
 
     This cuts the lineage durably (lost executors re-read files instead of recomputing) and makes
     every later reader see the same rows in the same files, which steps built on partition numbers
-    need. Unlike ``checkpoint()`` the scan still prunes columns. All tables of one application lie in
+    need. Unlike ``checkpoint()`` the scan still prunes columns, and the values of ``partition_by``, the
+    last column, where it is given. All tables of one application lie in
     one folder, which may be removed once the application has ended.
     """
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/mailshape/{application}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

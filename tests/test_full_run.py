@@ -27,7 +27,7 @@ def test_from_files_to_tables(spark, tmp_path):
     reports = full_run(
         load_training_mails(spark, str(tmp_path / "train.csv")),
         load_raw_mails(spark, str(tmp_path / "mail")), str(tmp_path / "out"),
-        lexicon=lexicon, do_cv=False)
+        lexicon=lexicon)
 
     assert {r.corpus: (r.n_rows, r.n_spam) for r in reports["sample_counts"].collect()} == {
         "train": (60, 30), "test": (24, 12)}
@@ -35,6 +35,7 @@ def test_from_files_to_tables(spark, tmp_path):
     scores = {r.model: r for r in back("comparison").collect()}
     assert len(scores) == 5 and all(r.status == "ok" for r in scores.values())
     assert scores["TFIDF Unigram"].f1 == 1.0
+    assert [r.cv_f1_mean is not None for r in scores.values()].count(True) == 4
     assert back("top_terms").count() > 0 and back("length_histogram").count() == 100
     assert {r.model for r in back("models/confusion_matrix").select("model").distinct().collect()} == {
         "keyword_baseline", "tfidf_unigram", "logistic", "svm", "word2vec"}
