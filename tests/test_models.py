@@ -77,7 +77,7 @@ def test_centroids_average_known_words_only(spark):
 
 
 def test_rows_without_a_label_are_refused_on_both_paths(spark):
-    df = spark.createDataFrame([(1, "a b", 1), (2, "c d", 0), (3, "e f", None)],
+    df = spark.createDataFrame([(1, "aa bb", 1), (2, "cc dd", 0), (3, "ee ff", None)],
                                "mail_id bigint, text string, label int")
     with pytest.raises(ValueError, match="label"):
         models.train_text_model(df, use_structural=False, ngram_range=(1, 1))
