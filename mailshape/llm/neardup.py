@@ -350,13 +350,15 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("group").eqNullSafe(F.col("_g")) & F.col("_alone").eqNullSafe(F.col("_a")))
     lost = found.filter("not kept").select("_id", "_hash").unionAll(
         kept.filter("_hash <> _first").select("_id", "_hash")).distinct()
-    again = found.groupBy("_id", "_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select(
-        F.col("_id").alias("_again"), F.col("_hash").alias("_again_hash"))
+    again = land(found.groupBy("_id", "_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select(
+        F.col("_id").alias("_again"), F.col("_hash").alias("_again_hash")), "again")
     mark = docs.withColumn("_text_hash", F.xxhash64(text_col))
     stay = mark.join(lost, F.col(id_col).eqNullSafe(F.col("_id"))
                      & (F.col("_text_hash") == F.col("_hash")), "left_anti")
+    if again.isEmpty():
+        return stay.drop("_text_hash")
+    # Some rows stand in the table more than once: one of each stays.
     same = F.col(id_col).eqNullSafe(F.col("_again")) & (F.col("_text_hash") == F.col("_again_hash"))
     single = stay.join(again, same, "left_anti")
-    # Rows that stand in the table more than once, usually none.
     repeated = stay.join(again, same, "left_semi").dropDuplicates([id_col, "_text_hash"])
     return single.unionAll(repeated).drop("_text_hash")
