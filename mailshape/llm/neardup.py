@@ -225,38 +225,49 @@ def _against_components(state: DataFrame, classes: DataFrame, sets: DataFrame, p
     needed = least_matches(percent, miss)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, keys, found, held_signatures, signatures = None, [], [], [], None
-
-        def links(key, sig, own):
+        place, keys, found, held_signatures, index = None, [], [], [], None
+
+        def indexed():
+            """The block's signatures, its shingles in order with their owners, and its sets' sizes."""
+            every = np.concatenate(found)
+            owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            order = np.argsort(every, kind="stable")
+            return (np.array(held_signatures), every[order], owner[order],
+                    np.array([len(f) for f in found]))
+
+        def links(sig, own):
+            signatures, every, owner, sizes = index
             alive, matches = np.arange(len(keys)), np.zeros(len(keys), dtype=np.int64)
             for end, least in needed:
                 part = slice(end - BATCH, end)
                 matches[alive] += (signatures[alive, part] == sig[part]).sum(axis=1)
                 alive = alive[matches[alive] >= least]
-            for i in alive[np.argsort(-matches[alive], kind="stable")]:
-                other = found[i]
-                if 100 * min(len(own), len(other)) < percent * max(len(own), len(other)):
-                    continue
-                common = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * common >= percent * (len(own) + len(other) - common):
-                    return keys[i]
-            return None
+            if not len(alive):
+                return None
+            # Intersections with the whole block at once: each shingle's run of owners.
+            first, last = (np.searchsorted(every, own, side) for side in ("left", "right"))
+            runs = last - first
+            at = np.repeat(first - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) \
+                + np.arange(runs.sum())
+            common = np.bincount(owner[at], minlength=len(keys))[alive]
+            good = alive[100 * common >= percent * (sizes[alive] + len(own) - common)]
+            return keys[good[0]] if len(good) else None
 
         for batch in slices(batches):
             a, b = [], []
             for root, block, side, key, sig, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 if (root, block) != place:
                     place, keys, found, held_signatures = (root, block), [], [], []
-                    signatures = None
+                    index = None
                 own, sig = np.frombuffer(raw, "<u8"), np.frombuffer(sig, "<u4")
                 if side == 0:
                     keys.append(key)
                     found.append(own)
                     held_signatures.append(sig)
                 elif keys:
-                    if signatures is None:
-                        signatures = np.array(held_signatures)
-                    other = links(key, sig, own)
+                    if index is None:
+                        index = indexed()
+                    other = links(sig, own)
                     if other is not None:
                         a.append(min(key, other))
                         b.append(max(key, other))
