@@ -28,7 +28,7 @@ BAND_ROWS = 4
 BATCH = 32
 MISS_PROBABILITY = 1e-6
 # Classes of a component held at once while others stream past.
-BLOCK = 256
+BLOCK = 1024
 
 _seeds = mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _FACTORS, _SHIFTS = _seeds[:HASHES] | np.uint64(1), _seeds[HASHES:]
@@ -209,9 +209,14 @@ def _against_components(state: DataFrame, classes: DataFrame, sets: DataFrame, p
     sizes = members.groupBy("root").agg(F.count("*").alias("size"))
     state = state.join(sizes, "root")
     # The smaller component's classes go to the larger one, ties by name.
-    targets = state.select("band", F.col("root").alias("_root"), F.col("size").alias("_size"))
-    seekers = (state.join(targets.distinct(), "band")
+    targets = state.groupBy("band", F.col("root").alias("_root")).agg(
+        F.first("size").alias("_size"), F.min("n").alias("_least"), F.max("shared").alias("_most"))
+    # The same bound as for a bucket, for the sizes and shared shingles of the component there.
+    common = F.least("shared", "_most")
+    seekers = (state.join(targets, "band")
                .filter(F.struct("size", "root") < F.struct("_size", "_root"))
+               .filter(100 * common >= percent * (
+                   F.col("n") + F.greatest("_least", common) - common))
                .select("key", F.col("_root").alias("root"), F.col("_size").alias("size")).distinct())
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     held = members.join(sizes, "root").join(
@@ -302,7 +307,7 @@ def link_classes(members: DataFrame, classes: DataFrame, sets: DataFrame, percen
     state = state.join(least, "band").filter(
         100 * F.col("shared") >= percent * (
             F.col("n") + F.greatest("least", "shared") - F.col("shared")))
-    state = land(_apart(state.select("band", "key", "root")), "apart")
+    state = land(_apart(state.select("band", "key", "root", "n", "shared")), "apart")
     more = land(_against_components(state, classes, sets, percent, miss), "found")
     return land(components(links.unionAll(more)), "roots")
 
