@@ -36,10 +36,13 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
-_ANCHOR = re.compile(r"[0-9@]+|[\[(](?:at|AT)[\])]")
+_ANCHOR = re.compile(r"[0-9@]+|[\[(](?:at|AT|dot|DOT)[\])]")
 _LEFT = re.compile(r"(?:\S+\s)?\S*\Z")
 _RIGHT = re.compile(r"\S*(?:\s\S+)?")
 _REACH = 48
+# An address goes on around these without a limit of characters.
+_ADDRESS = re.compile(r"@|[\[(](?:at|AT|dot|DOT)[\])]")
+_HOST = re.compile(r"\s?[A-Za-z0-9.-]*")
 
 Span = tuple[int, int, str]
 
@@ -81,13 +84,21 @@ def base_spans(text: str) -> list[Span]:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and at signs, with a word on either side; they do not overlap."""
+    """Stretches around digits, at signs and spelt-out ones and dots, with a word on either side; they do not overlap."""
     found: list[tuple[int, int]] = []
     for m in _ANCHOR.finditer(text):
-        if found and m.end() <= found[-1][1] and m.end() + 12 < found[-1][1]:
+        address = _ADDRESS.search(m.group())
+        if found and not address and m.end() <= found[-1][1] and m.end() + 12 < found[-1][1]:
             continue
         start = m.start() - len(_LEFT.search(text[max(0, m.start() - _REACH):m.start()]).group())
         end = m.end() + _RIGHT.match(text[m.end():m.end() + _REACH]).end()
+        if address:
+            name, floor = m.start(), found[-1][1] if found else 0
+            if name > floor and text[name - 1].isspace():
+                name -= 1
+            while name > floor and text[name - 1] in _LOCAL:
+                name -= 1
+            start, end = min(start, name), max(end, _HOST.match(text, m.end()).end())
         if found and start <= found[-1][1]:
             found[-1] = (found[-1][0], max(end, found[-1][1]))
         else:
@@ -109,10 +120,14 @@ def rewritten(text: str, gold: list[Span], seed: int) -> list[tuple[str, list[Sp
 
     if kind == "email":
         name, _, host = span.partition("@")
-        at = rng.choice([" (at) ", "(at)", " [at] ", "[at]"])
-        dot = rng.choice([" (dot) ", ".", "[dot]"])
-        return [put(name + at + host.replace(".", dot), True), put(name + "@" + host.split(".")[0],
-                                                                   False)]
+        # Names and hosts with and without digits, hosts of two labels and more.
+        plain = "".join(c for c in name if not "0" <= c <= "9").strip("._%+-") or name
+        letters = "".join(c for c in host if not "0" <= c <= "9")
+        hosts = [host, letters if _DOMAIN.fullmatch(letters) else host, ".".join(host.split(".")[-2:])]
+        forms = [put(rng.choice([name, plain]) + at + rng.choice(hosts).replace(
+            ".", dot), True) for at in (" (at) ", "(at)", " [at] ", "[at]")
+            for dot in (" (dot) ", ".", "[dot]")]
+        return [*forms, put(name + "@" + host.split(".")[0], False)]
     digits = _NOT_DIGIT.sub("", span)
     if kind == "phone":
         local = digits[-10:]

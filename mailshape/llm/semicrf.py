@@ -1,7 +1,7 @@
 """A semi-Markov conditional random field over the segments of a short region of text.
 
-A segmentation covers the region's tokens with entities of a kind, of at most ``MAX_TOKENS`` tokens,
-and single outside tokens. Its score sums weights of features of whole segments and of neighbouring
+A segmentation covers the region's tokens with entities of a kind, of at most ``MAX_TOKENS`` tokens
+or a whole address, and single outside tokens. Its score sums weights of features of whole segments and of neighbouring
 kinds. Training maximises the likelihood of given segmentations; decoding takes the best one.
 """
 
@@ -22,6 +22,11 @@ _PARTS = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 _NUMBER = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _NAME = re.compile(r"[A-Za-z0-9._%+-]+")
 _LABEL = re.compile(r"[A-Za-z0-9-]+")
+_HOST = re.compile(rf"{_LABEL.pattern}(?:(?:{_DOT.pattern}){_LABEL.pattern})+")
+# A spelt-out sign right after a candidate or right before it: it is but a part of an address.
+_GOES_ON = re.compile(r"\s?[\[(](?:at|AT|dot|DOT)[\])]")
+_BEGUN = re.compile(r"[\[(](?:at|AT|dot|DOT)[\])]\s?\Z")
+_MORE_HOST = re.compile(rf"(?:{_DOT.pattern}){_LABEL.pattern}")
 
 
 def luhn(digits: str) -> bool:
@@ -57,10 +62,13 @@ def span_features(text: str, start: int, end: int, pieces: Sequence[str], before
         found.append("luhn" if luhn(digits) else "not luhn")
     if _PARTS.fullmatch(span):
         found.append("parts" if all(int(p) <= 255 for p in span.split(".")) else "not parts")
+    if _GOES_ON.match(text, end) or _BEGUN.search(text[max(0, start - 7):start]):
+        found.append("cut")
     halves = _AT.split(span)
     if len(halves) == 2 and _NAME.fullmatch(halves[0]):
         labels = _DOT.split(halves[1])
-        if len(labels) > 1 and all(_LABEL.fullmatch(x) for x in labels):
+        if len(labels) > 1 and all(_LABEL.fullmatch(x) for x in labels) \
+                and not _MORE_HOST.match(text, end):
             found.append("address")
     return found
 
@@ -78,8 +86,9 @@ class Region:
                    for p, (s, e) in zip(pieces, spans)]
         self.outside = [["out " + p] if a else [] for p, a in zip(pieces, anchors)]
         self.segments: list[tuple[int, int, list[str]]] = []
-        word = ""
+        word, words = "", []
         for i, piece in enumerate(pieces):
+            words.append(word)
             if piece[0] in "dw+(":
                 seen = False
                 for j in range(i, min(i + MAX_TOKENS, len(pieces))):
@@ -89,7 +98,20 @@ class Region:
                             text, self.starts[i], self.ends[j], pieces[i:j + 1], word)))
             if piece == "w":
                 word = text[self.starts[i]:self.ends[i]].lower()[:12]
-
+        # Whole addresses are candidates however many tokens they have.
+        first_at = {s: i for i, s in enumerate(self.starts)}
+        last_at = {e: i for i, e in enumerate(self.ends)}
+        done = 0
+        for m in _AT.finditer(text):
+            start, host = m.start(), _HOST.match(text, m.end())
+            while start > done and _NAME.match(text[start - 1]):
+                start -= 1
+            done = m.end()
+            i, j = first_at.get(start), last_at.get(host.end()) if host else None
+            if i is not None and j is not None and j - i >= MAX_TOKENS \
+                    and pieces[i][0] in "dw" and pieces[j][0] in "dw":
+                self.segments.append((i, j + 1, span_features(
+                    text, start, host.end(), pieces[i:j + 1], words[i])))
 
 
 class SemiCRF:

@@ -121,6 +121,16 @@ def test_model_adds_what_patterns_miss(model):
     assert set(finder.spans(text)[0]) <= set(finder.spans(text)[1])
 
 
+@pytest.mark.parametrize("address", [
+    "jane.doe (at) mail (dot) example (dot) org", "jane [at] host (dot) com",
+    "jane (at) mail (dot) example (dot) co (dot) uk", "j.r.doe (at) a (dot) b (dot) c (dot) d (dot) org",
+    "x" * 60 + " (at) mail (dot) org", "jane (at) " + "b" * 60 + " (dot) example (dot) org"])
+def test_spaced_addresses_are_whole(model, address):
+    text = f"write to {address} today or tomorrow"
+    assert any(a <= 9 and b >= 9 + len(address) for a, b in pii.regions(text))
+    assert pii.redacted(text, pii.Finder(model).spans(text)[1]) == "write to [EMAIL] today or tomorrow"
+
+
 def test_redaction():
     assert pii.redacted("a x@y.z b", [(2, 7, "email")]) == "a [EMAIL] b"
     assert pii.redacted("123456 7", [(0, 4, "ip"), (2, 6, "card"), (7, 8, "ip")]) == "[IP] [IP]"
