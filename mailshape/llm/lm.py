@@ -31,9 +31,9 @@ END = "\n"
 # The counts of all other words are joined.
 LEXICON, HEAD = 131_072, 8192
 CLASSES = 48
-# Training: passes with averaged weights between them, each over its own part of one in so many
-# training documents, so what is learnt from grows with the corpus; tasks of a pass at most.
-ROUNDS, ONE_IN, TRAINERS = 2, 10, 12
+# Training: passes with averaged weights between them, each over its own part of the training
+# documents (one in so many), so together they see every one; tasks of a pass at most.
+ROUNDS, ONE_IN, TRAINERS = 2, 1, 12
 RATE = 0.1
 _COUNTED_AT_ONCE = 500_000
 _TOKENS_AT_ONCE = 4_000_000

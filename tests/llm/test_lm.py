@@ -107,6 +107,22 @@ def test_odd_rows_and_small_lexicons(spark, sizes):
         assert math.isfinite(mine[6]) and mine[6] < 0
 
 
+def test_all_training_documents_are_learnt_from(spark, monkeypatch):
+    frame = spark.createDataFrame([(i, "w%d x" % i, "x") for i in range(300)], SCHEMA).repartition(3)
+    training = frame.filter(~lm.held_out("doc_id"))
+    lexicon = lm.build_lexicon(lm.token_counts(training))
+    plain, rounds = type(frame).coalesce, []
+
+    def noted(self, n):
+        rounds.append([r[0] for r in self.collect()])
+        return plain(self, n)
+
+    monkeypatch.setattr(type(frame), "coalesce", noted)
+    lm.train(training, lexicon)
+    assert sorted(t for r in rounds for t in r) == sorted(r.text for r in training.collect())
+    assert len(rounds) == lm.ROUNDS and all(rounds)
+
+
 def test_empty_table(spark):
     assert lm.score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
