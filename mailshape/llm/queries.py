@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.llm import decontam, htmltree, lm, neardup, packing, pii, quality, toxicity, urlfilter, warc
+from mailshape.llm import decontam, htmltree, lm, neardup, packing, pii, quality, tokencount, toxicity, urlfilter, warc
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
@@ -73,10 +73,16 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
                                  pages.filter(host.rlike(LISTED_HOSTS)))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = tokencount.count_tokens(table(spark, folder, "documents"),
+                                      public_tokenizers.path(packing.VOCABULARY))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = {f.__name__: f for f in [
     op1_lm_scoring, op2_decontamination, op3_minhash, op4_revisits, op5_html, op6_pii, op7_toxicity, op8_packing,
-    op9_quality_rules, op10_url_filters, pipeline]}
+    op9_quality_rules, op10_url_filters, op11_token_counts, pipeline]}
