@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailshape.llm import decontam, htmltree, lm, neardup, packing, pii, quality, tokencount, toxicity, urlfilter, warc
+from mailshape.llm import decontam, htmltree, lm, merkle, neardup, packing, pii, quality, tokencount, toxicity, urlfilter, warc
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
@@ -79,10 +79,14 @@ def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = {f.__name__: f for f in [
     op1_lm_scoring, op2_decontamination, op3_minhash, op4_revisits, op5_html, op6_pii, op7_toxicity, op8_packing,
-    op9_quality_rules, op10_url_filters, op11_token_counts, pipeline]}
+    op9_quality_rules, op10_url_filters, op11_token_counts, op13_merkle_manifest, pipeline]}
