@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mailshape.llm import decontam, htmltree, lm, merkle, neardup, packing, pii, quality, tokencount, toxicity, urlfilter, warc
+from mailshape.llm import decontam, htmltree, lm, merkle, neardup, packing, periodic, pii, quality, tokencount, toxicity, urlfilter, warc
 from mailshape.sources.tables import table
 
 # Words in the hosts whose pages make up the list of single blocked URLs.
@@ -79,6 +79,30 @@ def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def planted_words(doc_id: Column, text: Column) -> Column:
+    """Words of a text, where crc32 of the decimal id ends in 0 made periodic from a word on."""
+    words = periodic.words_of(text)
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = g % n
+    p = F.floor((n - a) / (F.lit(3) + g % 8)) + 1
+    at = lambda i: (a + (i - a) % p + 1).cast("int")
+    made = F.transform(words, lambda w, i: F.when(i >= a, F.element_at(words, at(i))).otherwise(w))
+    return F.when((h % 10 == 0) & (n > 0), made).otherwise(words)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = periodic.periodic_runs(docs, planted_words(F.col("doc_id"), F.col("text")))
+    best = found.select("doc_id", "runs", periodic.best_run(F.col("runs")).alias("best"))
+    return best.select(
+        "doc_id", F.col("runs.n_runs").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").cast("bigint").alias("exponent_milli"),
+        periodic.runs_digest(F.col("runs")).alias("runs_sha256"),
+        F.sha2(F.col("runs.collapsed"), 256).alias("collapsed_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"))
 
@@ -89,4 +113,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in [
     op1_lm_scoring, op2_decontamination, op3_minhash, op4_revisits, op5_html, op6_pii, op7_toxicity, op8_packing,
-    op9_quality_rules, op10_url_filters, op11_token_counts, op13_merkle_manifest, pipeline]}
+    op9_quality_rules, op10_url_filters, op11_token_counts, op12_periodic_runs, op13_merkle_manifest, pipeline]}
