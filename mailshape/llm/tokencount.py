@@ -31,6 +31,12 @@ from pyspark.sql.pandas.functions import pandas_udf
 LIMIT = 2048
 # Texts handed to the library in one call: bounds the memory of its encodings.
 CHUNK = 256
+# Bytes held by a Python worker for words and their counts (with a dictionary entry's own cost,
+# taken as ENTRY_BYTES); emptied when full.
+MEMO_BYTES = 128 << 20
+ENTRY_BYTES = 120
+# ASCII white space, which every pre-token of a white-space-dropping vocabulary lies between.
+_SPACE = np.array([9, 10, 11, 12, 13, 32], dtype=np.uint32)
 
 PREFIXES = "n_tokens long, cut_chars array<int>, prefix_tokens array<int>"
 
@@ -50,9 +56,36 @@ class _Counter:
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             from tokenizers import Tokenizer
             self._model = Tokenizer.from_file(path)
+            self.spaced = _drops_space(path)
+        self._memo: dict[bytes, int] = {}
+        self._held = 0
 
     def prefixes(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        return self._pieces(texts) if self.piece else self._words(texts)
+        if self.piece:
+            return self._pieces(texts)
+        return self._spaced(texts) if self.spaced else self._words(texts)
+
+    def _spaced(self, texts):
+        """Recurrence over white-space words: each distinct word is encoded once (memo)."""
+        split = [t.encode().split() for t in texts]
+        new = set().union(*split).difference(self._memo)
+        size = sum(map(len, new)) + ENTRY_BYTES * len(new)
+        if self._held + size > MEMO_BYTES:
+            self._memo, self._held = {}, 0
+            new = set().union(*split)
+            size = sum(map(len, new)) + ENTRY_BYTES * len(new)
+        new = list(new)
+        made = self._model.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        self._memo.update(zip(new, (len(e.ids) for e in made)))
+        self._held += size
+        memo, tables = self._memo, []
+        for text, words in zip(texts, split):
+            counts = np.fromiter(map(memo.__getitem__, words), dtype=np.int64, count=len(words))
+            code = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+            space = np.isin(code, _SPACE)
+            ends = np.flatnonzero(~space & np.append(space[1:], True)) + 1
+            tables.append(_table(ends, np.cumsum(counts)))
+        return tables
 
     def _words(self, texts):
         made = []
@@ -80,6 +113,24 @@ class _Counter:
         return made
 
 
+def _drops_space(path: str) -> bool:
+    """Whether the file's pre-tokenizer keeps only matches of a pattern that white space ends, as
+    word-level vocabularies do, and no added token holds white space: then a text's tokens are
+    those of its white-space words in a row."""
+    import json
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre = spec.get("pre_tokenizer") or {}
+    steps = pre.get("pretokenizers", [pre]) if pre.get("type") == "Sequence" else [pre]
+    first = steps[0] if steps else {}
+    pattern = (first.get("pattern") or {}).get("Regex", "")
+    splits = (first.get("type") == "Split" and first.get("behavior") == "Removed"
+              and first.get("invert") and r"\s" in pattern and "[^\\s" in pattern)
+    words = first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")
+    clean = not any(any(c.isspace() for c in t["content"]) for t in spec.get("added_tokens", []))
+    return bool(splits or words) and clean
+
+
 def _table(ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``P`` with its leading 0 at character 0."""
     return (np.concatenate([[0], ends]).astype(np.int32),
