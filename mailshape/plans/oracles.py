@@ -328,6 +328,31 @@ FROM (SELECT mail_id, dim FROM prepared, (SELECT DISTINCT dim FROM vectors)) LEF
     SELECT label, fold, sum(size) OVER (PARTITION BY label ORDER BY fold) AS upto, size FROM dealt)
 SELECT mail_id, sorted.label, fold FROM sorted JOIN spans
 ON spans.label = sorted.label AND nr > upto - size AND nr <= upto""",
+    "fold_vocabulary": f"""WITH {LABELLED_TEXT}{_SPLIT}, kept AS ({_first_copy.format(relation='train')}), classes AS (
+    SELECT label, count(*) AS n, min(mail_id) AS first_id FROM kept GROUP BY label), ordered AS (
+    SELECT label, coalesce(sum(n) OVER (ORDER BY first_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        AS before FROM classes), sorted AS (
+    SELECT mail_id, label, row_number() OVER (PARTITION BY label ORDER BY mail_id) AS nr, before
+    FROM kept JOIN ordered USING (label)), dealt AS (
+    SELECT label, ((before + nr - 1) % 5)::INT AS fold, count(*) AS size FROM sorted GROUP BY ALL), spans AS (
+    SELECT label, fold, sum(size) OVER (PARTITION BY label ORDER BY fold) AS upto, size FROM dealt), folded AS (
+    SELECT mail_id, fold FROM sorted JOIN spans
+    ON spans.label = sorted.label AND nr > upto - size AND nr <= upto), words AS (
+    SELECT mail_id, fold, list_filter(regexp_extract_all(text, '[a-z0-9]{{2,}}'),
+                                      lambda w: w NOT IN {word_list(COMMON_WORDS)}) AS words
+    FROM kept JOIN folded USING (mail_id)), terms AS (
+    SELECT mail_id, fold, unnest(words) AS term FROM words
+    UNION ALL SELECT mail_id, fold, words[i] || ' ' || words[i + 1] FROM (
+        SELECT mail_id, fold, words, unnest(range(1, len(words))) AS i FROM words)), per_fold AS (
+    SELECT fold, term, count(*) AS n, count(DISTINCT mail_id) AS df FROM terms GROUP BY fold, term), sides AS (
+    SELECT unnest([-1, 0, 1, 2, 3, 4]) AS held_out), side_counts AS (
+    SELECT held_out, term, sum(n)::BIGINT AS n, sum(df)::BIGINT AS df FROM per_fold, sides
+    WHERE fold <> held_out GROUP BY held_out, term), side_rows AS (
+    SELECT held_out, (SELECT count(*) FROM folded WHERE fold <> held_out) AS side_rows FROM sides), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY held_out ORDER BY n DESC, term) AS rank FROM side_counts)
+SELECT held_out, rank::INT AS rank, term, n, df,
+       round(ln((side_rows + 1)::DOUBLE / (df + 1)) + 1, 6) AS idf
+FROM ranked JOIN side_rows USING (held_out) WHERE rank <= 5000""",
     "binary_metrics": scored() + f"""SELECT round({ratio('tp + tn', 'tn + fp + fn + tp')}, 6) AS accuracy,
        round(p1, 6) AS precision, round(r1, 6) AS recall, round(f1, 6) AS f1 FROM f""",
     "classification_report": scored() + f"""

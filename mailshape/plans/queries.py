@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailshape.functions import text as T
 from mailshape.functions.structural import STRUCTURAL_COLUMNS, with_structural_features
-from mailshape.operators import evaluate, folds, lemma, models, prepare, profile, vectorize
+from mailshape.operators import evaluate, folds, foldterms, lemma, models, prepare, profile, vectorize
 from mailshape.plans import compare
 from mailshape.session import land
 from mailshape.sources import csv_mail, tables
@@ -252,6 +252,15 @@ def stratified_folds(spark: SparkSession, folder: str) -> DataFrame:
     return folds.with_folds(mails).select("mail_id", "label", "fold")
 
 
+def fold_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Top terms and their weights on every training side of the folds, from one pass of counts."""
+    train = prepared_corpora(spark, folder)[0].select("mail_id", "label", "text")
+    folded = land(folds.with_folds(train), "vocabulary_folds")
+    counts = land(foldterms.fold_term_counts(folded, (1, 2), profile.COMMON_WORDS), "fold_terms")
+    vocabulary = foldterms.fold_vocabulary(counts, foldterms.fold_sizes(folded, []), folds.FOLDS)
+    return vocabulary.withColumn("idf", r6("idf"))
+
+
 # -- evaluation -----------------------------------------------------------------------------------
 
 def binary_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -309,7 +318,7 @@ QUERIES: dict[str, Query] = {
         cleaning_summary, label_diversity, prepare_datasets, corpus_union, sample_counts,
         class_distribution, length_histogram, length_density, length_p95, top_terms,
         vocab_unigram, vocab_bigram, count_matrix, tfidf_matrix, scaled_features, doc_centroid,
-        stratified_folds, binary_metrics, classification_report, confusion_matrix, pr_curve,
+        stratified_folds, fold_vocabulary, binary_metrics, classification_report, confusion_matrix, pr_curve,
         average_precision,
     )
 }
