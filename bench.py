@@ -55,10 +55,11 @@ def main() -> None:
     timed("profile", lambda: [drain(t) for t in profile.profile(
         prepare.corpus_union(train, test)).values()])
     # As in a full run: one set of folds, four models with cross-validation, then the word vectors.
-    folded = timed("folds", lambda: compare.landed_folds(train))
+    tables = timed("folds", lambda: compare.fold_tables(
+        compare.landed_folds(train), [m.ngram_range for m in compare.TEXT_MODELS]))
     for settings in compare.TEXT_MODELS:
         timed(f"cv_fit_score_{compare.model_tag(settings.name)}", lambda: drain(
-            compare.run_text_model(settings, train, test, folded).metrics))
+            compare.run_text_model(settings, train, test, tables).metrics))
     timed("fit_score_word2vec", lambda: drain(compare.run_embedding_model(train, test).metrics))
 
     print(json.dumps({

@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from mailshape.operators import evaluate, models
+from mailshape.operators import evaluate, foldterms, models
 from mailshape.operators.folds import FOLDS, with_folds
 from mailshape.operators.vectorize import feature_columns
 from mailshape.session import land
@@ -90,6 +90,64 @@ def cross_validate(pipeline: Pipeline, folded: DataFrame, k: int = FOLDS,
         return CrossValidation(model.result(), [s.result() for s in scores])
 
 
+@dataclass(frozen=True)
+class FoldTables:
+    """Landed folds with their term counts, vocabularies by n-gram range and column moments."""
+
+    folded: DataFrame
+    vocabulary: dict[tuple[int, int], DataFrame]
+    sizes: DataFrame
+    stop_words: Sequence[str] | None
+    k: int
+
+
+def fold_tables(folded: DataFrame, ngram_ranges: Sequence[tuple[int, int]],
+                stop_words: Sequence[str] | None = None, k: int = FOLDS) -> FoldTables:
+    """One pass over the text of :func:`landed_folds` for all models: counts per fold and term up
+    to the longest n-gram, from which every side's vocabulary and weights follow."""
+    high = max(h for _, h in ngram_ranges)
+    counts = land(foldterms.fold_term_counts(folded, (1, high), stop_words), "cv_terms")
+    sizes = land(foldterms.fold_sizes(folded), "cv_sizes")
+    grams = F.size(F.split("term", " "))
+    vocabulary = {
+        (low, high): land(foldterms.fold_vocabulary(
+            counts.filter(grams.between(low, high)), sizes, k), "cv_vocabulary")
+        for low, high in set(ngram_ranges)}
+    return FoldTables(folded, vocabulary, sizes, stop_words, k)
+
+
+def side_model(settings: TextModel, tables: FoldTables, held_out: int) -> PipelineModel:
+    """The model of one training side: its term stages from the tables, a classifier fitted anew."""
+    moments = foldterms.side_moments(tables.sizes, held_out) if settings.use_structural else None
+    text = foldterms.side_text_model(
+        tables.vocabulary[settings.ngram_range], held_out, settings.vectorizer_type,
+        settings.ngram_range, tables.stop_words, moments)
+    rows = tables.folded
+    if held_out != foldterms.ALL_ROWS:
+        rows = rows.filter(F.col("fold") != held_out)
+    fitted = models.RidgeClassifier(settings.model_type).fit(text.transform(rows))
+    return PipelineModel(stages=[*text.stages, fitted])
+
+
+def cross_validate_model(settings: TextModel, tables: FoldTables,
+                         parallelism: int = FOLDS) -> CrossValidation:
+    """As :func:`cross_validate`, with vocabularies, weights and scalers of all sides from
+    :func:`fold_tables`: only the classifier is fitted per side, and the text is read once a fit."""
+    held = F.col("fold")
+
+    def score(fold: int) -> float:
+        model = side_model(settings, tables, fold)
+        return evaluate.binary_metrics(
+            models.predict(model, tables.folded.filter(held == fold))).first().f1
+
+    session = tables.folded.sparkSession
+    run = inheritable_thread_target(session)
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = [pool.submit(run(score), fold) for fold in range(tables.k)]
+        model = pool.submit(run(side_model), settings, tables, foldterms.ALL_ROWS)
+        return CrossValidation(model.result(), [s.result() for s in scores])
+
+
 def cv_summary(validated: CrossValidation, name: str, folded: DataFrame) -> DataFrame:
     """Mean F1 over the folds and twice its population deviation."""
     return folded.sparkSession.range(1).select(
@@ -130,16 +188,16 @@ def _run(name: str, model: PipelineModel, predictions: DataFrame, cv_mean: float
 
 
 def run_text_model(settings: TextModel, train: DataFrame, test: DataFrame,
-                   folded: DataFrame | None = None,
+                   tables: FoldTables | None = None,
                    stop_words: Sequence[str] | None = None) -> ModelRun:
-    """Fit on ``train`` and score ``test``; with ``folded`` rows of it, cross-validate on the way."""
-    pipeline = pipeline_for(settings, stop_words)
+    """Fit on ``train`` and score ``test``; with :func:`fold_tables` of it, cross-validate on the
+    way (the tables then hold the stop words)."""
     mean = spread = None
-    if folded is not None:
-        validated = cross_validate(pipeline, folded)
+    if tables is not None:
+        validated = cross_validate_model(settings, tables)
         model, mean, spread = validated.model, validated.mean, validated.spread
     else:
-        model = pipeline.fit(train)
+        model = pipeline_for(settings, stop_words).fit(train)
     return _run(settings.name, model, models.predict(model, test), mean, spread)
 
 
@@ -151,8 +209,10 @@ def run_embedding_model(train: DataFrame, test: DataFrame, **settings) -> ModelR
 def run_models(train: DataFrame, test: DataFrame, do_cv: bool = True,
                stop_words: Sequence[str] | None = None) -> list[ModelRun]:
     """The five runs. If the embedding model fails, its metrics row says so and the rest stands."""
-    folded = landed_folds(train) if do_cv else None
-    runs = [run_text_model(m, train, test, folded, stop_words) for m in TEXT_MODELS]
+    tables = None
+    if do_cv:
+        tables = fold_tables(landed_folds(train), [m.ngram_range for m in TEXT_MODELS], stop_words)
+    runs = [run_text_model(m, train, test, tables, stop_words) for m in TEXT_MODELS]
     try:
         runs.append(run_embedding_model(train, test))
     except Exception as error:  # any failure of this leg is reported in its row

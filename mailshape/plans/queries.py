@@ -300,8 +300,9 @@ def model_word2vec(spark: SparkSession, folder: str) -> DataFrame:
 def cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     """All four term models over the same folds."""
     folded = compare.landed_folds(prepared_corpora(spark, folder)[0])
+    tables = compare.fold_tables(folded, [m.ngram_range for m in compare.TEXT_MODELS])
     return reduce(DataFrame.unionByName, [
-        compare.cv_summary(compare.cross_validate(compare.pipeline_for(m), folded), m.name, folded)
+        compare.cv_summary(compare.cross_validate_model(m, tables), m.name, folded)
         for m in compare.TEXT_MODELS])
 
 
