@@ -80,15 +80,16 @@ def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def planted_words(doc_id: Column, text: Column) -> Column:
-    """Words of a text, where crc32 of the decimal id ends in 0 made periodic from a word on."""
+    """Words of a text, where crc32 of the decimal id ends in 0 made periodic from a word on: word
+    ``i >= a`` becomes word ``a + (i - a) % p``, the block ``[a, a + p)`` repeated."""
     words = periodic.words_of(text)
     h = F.crc32(doc_id.cast("string").cast("binary"))
     g, n = F.floor(h / 10), F.size(words)
-    a = g % n
-    p = F.floor((n - a) / (F.lit(3) + g % 8)) + 1
-    at = lambda i: (a + (i - a) % p + 1).cast("int")
-    made = F.transform(words, lambda w, i: F.when(i >= a, F.element_at(words, at(i))).otherwise(w))
-    return F.when((h % 10 == 0) & (n > 0), made).otherwise(words)
+    a = (g % n).cast("int")
+    p = (F.floor((n - a) / (F.lit(3) + g % 8)) + 1).cast("int")
+    block = F.slice(words, a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int"))), 1, n - a)
+    return F.when((h % 10 == 0) & (n > 0), F.concat(F.slice(words, 1, a), tail)).otherwise(words)
 
 
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
