@@ -66,4 +66,70 @@ SELECT id AS record_id, key AS url_key, t AS time, fid AS response_id, ft AS res
 FROM j WHERE o = 1
 """
 
-ORACLES = {"op4_revisits": REVISITS, "op9_quality_rules": QUALITY, "op10_url_filters": URLS}
+# Tree levels written out: 3^24 leaves per source, and sources, at most.
+_HEIGHT = 24
+
+
+def _manifest() -> str:
+    """Leaves, crc32 from its table (built by rule from the reflected polynomial 0xEDB88320), levels
+    per source and over sources, then every leaf's walk up both trees gathering siblings and folding."""
+    field = lambda v: f"coalesce(strlen({v}) || ':' || {v}, '-')"
+    ctes = [r"""tab(b, c, k) AS (
+    SELECT b::UBIGINT, b::UBIGINT, 0 FROM range(256) t(b)
+    UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1
+    FROM tab WHERE k < 8),
+crct AS (SELECT b, c FROM tab WHERE k = 8),
+ids AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL),
+cr(s, pos, c) AS (
+    SELECT s, 0, 4294967295::UBIGINT FROM ids
+    UNION ALL SELECT cr.s, pos + 1, xor(crct.c, cr.c >> 8) FROM cr JOIN crct
+    ON crct.b = (xor(cr.c, ascii(substr(cr.s, pos + 1, 1))::UBIGINT) & 255::UBIGINT) WHERE pos < length(cr.s)),
+crc AS (SELECT s, xor(c, 4294967295::UBIGINT) AS crc FROM cr WHERE pos = length(s))""",
+            f"""f AS (
+    SELECT doc_id, source, {field('CAST(doc_id AS VARCHAR)')} || {field('source')} || {field('lang')}
+               || {field('CAST(n_chars AS VARCHAR)')} AS head, text,
+           CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS ttext
+    FROM documents LEFT JOIN crc ON crc.s = CAST(doc_id AS VARCHAR))""",
+            f"""lf AS (SELECT doc_id, source, sha256(head || {field('text')}) AS leaf,
+           sha256(head || {field('ttext')}) AS tleaf FROM f)""",
+            """L0 AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1
+           AS idx, leaf AS h, count(*) OVER (PARTITION BY source) AS cnt, doc_id, leaf, tleaf FROM lf)"""]
+    for k in range(_HEIGHT):
+        ctes.append(f"""G{k} AS (SELECT source, idx // 3 AS grp, string_agg(h, '' ORDER BY idx) AS cat, any_value(cnt) AS cnt
+    FROM L{k} WHERE cnt > 1 GROUP BY source, idx // 3),
+L{k + 1} AS (SELECT source, grp AS idx, sha256(cat) AS h, (cnt + 2) // 3 AS cnt FROM G{k})""")
+    tops = " UNION ALL ".join(f"SELECT source, h FROM L{k} WHERE cnt = 1" for k in range(_HEIGHT + 1))
+    ctes.append(f"""S AS ({tops}),
+T0 AS (SELECT 0 AS source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, h,
+           count(*) OVER () AS cnt, source AS of FROM S)""")
+    for k in range(_HEIGHT):
+        ctes.append(f"""TG{k} AS (SELECT source, idx // 3 AS grp, string_agg(h, '' ORDER BY idx) AS cat, any_value(cnt) AS cnt
+    FROM T{k} WHERE cnt > 1 GROUP BY source, idx // 3),
+T{k + 1} AS (SELECT source, grp AS idx, sha256(cat) AS h, (cnt + 2) // 3 AS cnt FROM TG{k})""")
+    root = " UNION ALL ".join(f"SELECT h FROM T{k} WHERE cnt = 1" for k in range(_HEIGHT + 1))
+    ctes.append(f"R AS ({root})")
+
+    def walk(prefix: str, groups: str, start: str, key: str) -> None:
+        ctes.append(f"{prefix}0 AS ({start})")
+        for k in range(_HEIGHT):
+            at = "(w.idx % 3) * 64"
+            ctes.append(f"""{prefix}{k + 1} AS (
+    SELECT w.doc_id, w.source, w.idx // 3 AS idx, w.leaf, w.sub,
+           w.proof || coalesce(substr(g.cat, 1, {at}) || substr(g.cat, {at} + 65), '') AS proof,
+           CASE WHEN g.cat IS NULL THEN w.fold
+                ELSE sha256(substr(g.cat, 1, {at}) || w.fold || substr(g.cat, {at} + 65)) END AS fold
+    FROM {prefix}{k} w LEFT JOIN {groups}{k} g ON {key} AND g.grp = w.idx // 3)""")
+
+    walk("W", "G", "SELECT doc_id, source, idx, leaf, '' AS sub, '' AS proof, tleaf AS fold FROM L0",
+         "g.source IS NOT DISTINCT FROM w.source")
+    walk("V", "TG", f"""SELECT w.doc_id, 0 AS source, t.idx, w.leaf, s.h AS sub, w.proof, w.fold
+    FROM W{_HEIGHT} w JOIN T0 t ON t.of IS NOT DISTINCT FROM w.source
+    JOIN S s ON s.source IS NOT DISTINCT FROM w.source""", "g.source = w.source")
+    return "WITH RECURSIVE " + ",\n".join(ctes) + f"""
+SELECT v.doc_id, v.leaf, v.sub AS subroot, R.h AS root, sha256(v.proof) AS proof_sha256, v.fold AS folded_root,
+       v.fold = R.h AS verified
+FROM V{_HEIGHT} v, R"""
+
+
+ORACLES = {"op4_revisits": REVISITS, "op9_quality_rules": QUALITY, "op10_url_filters": URLS,
+           "op13_merkle_manifest": _manifest()}
