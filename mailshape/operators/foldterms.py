@@ -3,8 +3,8 @@
 The table ``(fold, term, n, df)`` holds the occurrences of a term and the mails holding it within
 one fold. It is mergeable: the training side of held-out fold ``h`` has ``total - fold h`` of every
 count, so the vocabulary and document frequencies of all ``k`` training sides and of all rows come
-from this table, without reading the text again. The same holds for the moments of the structural
-columns (``n``, sum, sum of squares per fold).
+from this table, without reading the text again. Likewise the moments of the structural columns
+(count, mean and sum of squared deviations per fold) merge exactly into every side's scaler.
 
 The ``size`` most frequent terms of a side (equal counts ranked by term) are found exactly without
 ranking all terms in one task: the most frequent terms overall give a lower bound of each side's
@@ -45,12 +45,9 @@ def fold_term_counts(folded: DataFrame, ngram_range: tuple[int, int] = (1, 2),
         F.sum("o").alias("n"), F.sum("d").alias("df"))
 
 
-def fold_sizes(folded: DataFrame, columns: Sequence[str] = tuple(STRUCTURAL_COLUMNS)) -> DataFrame:
-    """``(fold, rows, s_<c>, q_<c>)``: rows, sums and sums of squares of the columns per fold."""
-    return folded.groupBy("fold").agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.sum(F.col(c).cast("double")).alias(f"s_{c}") for c in columns],
-        *[F.sum(F.col(c).cast("double") ** 2).alias(f"q_{c}") for c in columns])
+def fold_sizes(folded: DataFrame) -> DataFrame:
+    """``(fold, rows)``."""
+    return folded.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _side(totals: DataFrame, counts: DataFrame, k: int) -> DataFrame:
@@ -103,17 +100,40 @@ def fold_vocabulary(counts: DataFrame, sizes: DataFrame, k: int,
         (F.log((F.col("side_rows") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def side_moments(sizes: DataFrame, held_out: int,
+def fold_moments(folded: DataFrame,
+                 columns: Sequence[str] = tuple(STRUCTURAL_COLUMNS)) -> DataFrame:
+    """``(fold, feature, rows, mean, m2)``: count, mean and sum of squared deviations per fold and
+    column, each from Spark's stable one-pass aggregates."""
+    per_fold = folded.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.avg(c).alias(f"m_{c}") for c in columns],
+        *[(F.var_pop(c) * F.count(c)).alias(f"v_{c}") for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"m_{c}").alias("mean"),
+                               F.col(f"v_{c}").alias("m2")) for c in columns])
+    return per_fold.select("fold", "rows", F.inline(cells))
+
+
+def side_scalers(moments: DataFrame, k: int) -> DataFrame:
+    """``(held_out, feature, mean, std)`` of every side, by the exact merge of its folds' moments:
+    ``mean = sum(n_i m_i) / N`` and ``M2 = sum(M2_i + n_i (m_i - mean)^2)``, ``std = sqrt(M2 / N)``."""
+    every = F.array(*[F.lit(h) for h in [ALL_ROWS, *range(k)]])
+    parts = moments.withColumn("held_out", F.explode(every)).filter(F.col("fold") != F.col("held_out"))
+    merged = parts.groupBy("held_out", "feature").agg(
+        F.sum("rows").alias("n"), (F.sum(F.col("rows") * F.col("mean")) / F.sum("rows")).alias("mean"))
+    spread = parts.withColumnRenamed("mean", "mean_p").join(merged, ["held_out", "feature"])
+    spread = spread.groupBy("held_out", "feature").agg(
+        F.first("mean").alias("mean"), F.first("n").alias("n"),
+        F.sum(F.col("m2") + F.col("rows") * (F.col("mean_p") - F.col("mean")) ** 2).alias("m2"))
+    return spread.select("held_out", "feature", "mean", F.sqrt(F.col("m2") / F.col("n")).alias("std"))
+
+
+def side_moments(scalers: DataFrame, held_out: int,
                  columns: Sequence[str] = tuple(STRUCTURAL_COLUMNS)) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation of every column on one side, by subtraction of its fold."""
-    kept = sizes if held_out == ALL_ROWS else sizes.filter(F.col("fold") != held_out)
-    sums = kept.agg(F.sum("rows").alias("rows"), *[F.sum(f"s_{c}").alias(f"s_{c}") for c in columns],
-                    *[F.sum(f"q_{c}").alias(f"q_{c}") for c in columns]).first()
-    made = {}
-    for c in columns:
-        mean = sums[f"s_{c}"] / sums["rows"]
-        made[c] = (mean, max(sums[f"q_{c}"] / sums["rows"] - mean * mean, 0.0) ** 0.5)
-    return made
+    """Mean and population deviation of the columns on one side, in their order, from
+    :func:`side_scalers`."""
+    rows = {r.feature: (r.mean, r.std) for r in
+            scalers.filter(F.col("held_out") == held_out).collect()}
+    return {c: rows[c] for c in columns}
 
 
 def side_text_model(vocabulary: DataFrame, held_out: int, vectorizer_type: str,

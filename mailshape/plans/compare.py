@@ -96,7 +96,7 @@ class FoldTables:
 
     folded: DataFrame
     vocabulary: dict[tuple[int, int], DataFrame]
-    sizes: DataFrame
+    scalers: DataFrame
     stop_words: Sequence[str] | None
     k: int
 
@@ -108,17 +108,18 @@ def fold_tables(folded: DataFrame, ngram_ranges: Sequence[tuple[int, int]],
     high = max(h for _, h in ngram_ranges)
     counts = land(foldterms.fold_term_counts(folded, (1, high), stop_words), "cv_terms")
     sizes = land(foldterms.fold_sizes(folded), "cv_sizes")
+    scalers = land(foldterms.side_scalers(foldterms.fold_moments(folded), k), "cv_scalers")
     grams = F.size(F.split("term", " "))
     vocabulary = {
         (low, high): land(foldterms.fold_vocabulary(
             counts.filter(grams.between(low, high)), sizes, k), "cv_vocabulary")
         for low, high in set(ngram_ranges)}
-    return FoldTables(folded, vocabulary, sizes, stop_words, k)
+    return FoldTables(folded, vocabulary, scalers, stop_words, k)
 
 
 def side_model(settings: TextModel, tables: FoldTables, held_out: int) -> PipelineModel:
     """The model of one training side: its term stages from the tables, a classifier fitted anew."""
-    moments = foldterms.side_moments(tables.sizes, held_out) if settings.use_structural else None
+    moments = foldterms.side_moments(tables.scalers, held_out) if settings.use_structural else None
     text = foldterms.side_text_model(
         tables.vocabulary[settings.ngram_range], held_out, settings.vectorizer_type,
         settings.ngram_range, tables.stop_words, moments)

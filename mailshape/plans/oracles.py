@@ -353,6 +353,22 @@ ON spans.label = sorted.label AND nr > upto - size AND nr <= upto""",
 SELECT held_out, rank::INT AS rank, term, n, df,
        round(ln((side_rows + 1)::DOUBLE / (df + 1)) + 1, 6) AS idf
 FROM ranked JOIN side_rows USING (held_out) WHERE rank <= 5000""",
+    "fold_scalers": f"""WITH {LABELLED_TEXT}{_SPLIT}, kept AS ({_first_copy.format(relation='train')}), classes AS (
+    SELECT label, count(*) AS n, min(mail_id) AS first_id FROM kept GROUP BY label), ordered AS (
+    SELECT label, coalesce(sum(n) OVER (ORDER BY first_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        AS before FROM classes), sorted AS (
+    SELECT mail_id, label, row_number() OVER (PARTITION BY label ORDER BY mail_id) AS nr, before
+    FROM kept JOIN ordered USING (label)), dealt AS (
+    SELECT label, ((before + nr - 1) % 5)::INT AS fold, count(*) AS size FROM sorted GROUP BY ALL), spans AS (
+    SELECT label, fold, sum(size) OVER (PARTITION BY label ORDER BY fold) AS upto, size FROM dealt), folded AS (
+    SELECT mail_id, fold FROM sorted JOIN spans
+    ON spans.label = sorted.label AND nr > upto - size AND nr <= upto), {features('labelled', 'mail_id, lang')}, sides AS (
+    SELECT unnest([-1, 0, 1, 2, 3, 4]) AS held_out), rows_of AS (
+    SELECT featured.*, fold FROM featured JOIN folded USING (mail_id))
+SELECT held_out, feature, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM (
+    UNPIVOT (SELECT * EXCLUDE (mail_id, lang) FROM rows_of) ON {', '.join(STRUCTURAL_COLUMNS)}
+    INTO NAME feature VALUE value), sides
+WHERE fold <> held_out GROUP BY held_out, feature""",
     "binary_metrics": scored() + f"""SELECT round({ratio('tp + tn', 'tn + fp + fn + tp')}, 6) AS accuracy,
        round(p1, 6) AS precision, round(r1, 6) AS recall, round(f1, 6) AS f1 FROM f""",
     "classification_report": scored() + f"""

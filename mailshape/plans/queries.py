@@ -257,10 +257,18 @@ def fold_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     train = prepared_corpora(spark, folder)[0].select("mail_id", "label", "text")
     folded = land(folds.with_folds(train), "vocabulary_folds")
     counts = land(foldterms.fold_term_counts(folded, (1, 2), profile.COMMON_WORDS), "fold_terms")
-    vocabulary = foldterms.fold_vocabulary(counts, foldterms.fold_sizes(folded, []), folds.FOLDS)
+    vocabulary = foldterms.fold_vocabulary(counts, foldterms.fold_sizes(folded), folds.FOLDS)
     return vocabulary.withColumn("idf", r6("idf"))
 
 
+def fold_scalers(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean and population deviation of every structural column on every training side."""
+    train = prepared_corpora(spark, folder)[0].select("mail_id", "label", *STRUCTURAL_COLUMNS)
+    folded = land(folds.with_folds(train), "scaler_folds")
+    scalers = foldterms.side_scalers(foldterms.fold_moments(folded), folds.FOLDS)
+    return scalers.select("held_out", "feature", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
 # -- evaluation -----------------------------------------------------------------------------------
 
 def binary_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,7 +327,7 @@ QUERIES: dict[str, Query] = {
         cleaning_summary, label_diversity, prepare_datasets, corpus_union, sample_counts,
         class_distribution, length_histogram, length_density, length_p95, top_terms,
         vocab_unigram, vocab_bigram, count_matrix, tfidf_matrix, scaled_features, doc_centroid,
-        stratified_folds, fold_vocabulary, binary_metrics, classification_report, confusion_matrix, pr_curve,
+        stratified_folds, fold_vocabulary, fold_scalers, binary_metrics, classification_report, confusion_matrix, pr_curve,
         average_precision,
     )
 }

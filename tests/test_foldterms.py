@@ -25,10 +25,12 @@ def test_every_side_equals_a_fit_on_its_rows(spark, folded, size):
         got = sorted((r.rank, r.term, r.idf) for r in vocabulary if r.held_out == held_out)
         assert [t for _, t, _ in got] == list(want)
         assert np.allclose([i for *_, i in got], fitted.stages[-1].getScalingVec().toArray())
-        moments = foldterms.side_moments(foldterms.fold_sizes(folded), held_out)
+        scalers = foldterms.side_scalers(foldterms.fold_moments(folded), 5)
+        moments = foldterms.side_moments(scalers, held_out)
+        assert len(moments) == 21
         for c, (mean, spread) in moments.items():
             m, s = rows.agg(F.avg(c), F.stddev_pop(c)).first()
-            assert mean == pytest.approx(m, abs=1e-9) and spread == pytest.approx(s, abs=1e-7)
+            assert mean == pytest.approx(m, abs=1e-9) and spread == pytest.approx(s, abs=1e-9)
 
 
 def test_empty_fold_table(spark, folded):
