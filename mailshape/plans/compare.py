@@ -149,6 +149,15 @@ def cross_validate_model(settings: TextModel, tables: FoldTables,
         return CrossValidation(model.result(), [s.result() for s in scores])
 
 
+def cross_validate_models(settings: Sequence[TextModel], tables: FoldTables) -> list[CrossValidation]:
+    """:func:`cross_validate_model` of several models at once: their solvers' many small jobs
+    interleave instead of waiting for one another."""
+    run = inheritable_thread_target(tables.folded.sparkSession)
+    with ThreadPoolExecutor(len(settings)) as pool:
+        made = [pool.submit(run(cross_validate_model), m, tables) for m in settings]
+        return [m.result() for m in made]
+
+
 def cv_summary(validated: CrossValidation, name: str, folded: DataFrame) -> DataFrame:
     """Mean F1 over the folds and twice its population deviation."""
     return folded.sparkSession.range(1).select(
@@ -190,12 +199,13 @@ def _run(name: str, model: PipelineModel, predictions: DataFrame, cv_mean: float
 
 def run_text_model(settings: TextModel, train: DataFrame, test: DataFrame,
                    tables: FoldTables | None = None,
-                   stop_words: Sequence[str] | None = None) -> ModelRun:
+                   stop_words: Sequence[str] | None = None,
+                   validated: CrossValidation | None = None) -> ModelRun:
     """Fit on ``train`` and score ``test``; with :func:`fold_tables` of it, cross-validate on the
-    way (the tables then hold the stop words)."""
+    way (the tables then hold the stop words), unless ``validated`` is given already."""
     mean = spread = None
-    if tables is not None:
-        validated = cross_validate_model(settings, tables)
+    if tables is not None or validated is not None:
+        validated = validated or cross_validate_model(settings, tables)
         model, mean, spread = validated.model, validated.mean, validated.spread
     else:
         model = pipeline_for(settings, stop_words).fit(train)
@@ -210,10 +220,12 @@ def run_embedding_model(train: DataFrame, test: DataFrame, **settings) -> ModelR
 def run_models(train: DataFrame, test: DataFrame, do_cv: bool = True,
                stop_words: Sequence[str] | None = None) -> list[ModelRun]:
     """The five runs. If the embedding model fails, its metrics row says so and the rest stands."""
-    tables = None
+    validated = [None] * len(TEXT_MODELS)
     if do_cv:
         tables = fold_tables(landed_folds(train), [m.ngram_range for m in TEXT_MODELS], stop_words)
-    runs = [run_text_model(m, train, test, tables, stop_words) for m in TEXT_MODELS]
+        validated = cross_validate_models(TEXT_MODELS, tables)
+    runs = [run_text_model(m, train, test, None, stop_words, v)
+            for m, v in zip(TEXT_MODELS, validated)]
     try:
         runs.append(run_embedding_model(train, test))
     except Exception as error:  # any failure of this leg is reported in its row

@@ -309,9 +309,9 @@ def cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     """All four term models over the same folds."""
     folded = compare.landed_folds(prepared_corpora(spark, folder)[0])
     tables = compare.fold_tables(folded, [m.ngram_range for m in compare.TEXT_MODELS])
+    validated = compare.cross_validate_models(compare.TEXT_MODELS, tables)
     return reduce(DataFrame.unionByName, [
-        compare.cv_summary(compare.cross_validate_model(m, tables), m.name, folded)
-        for m in compare.TEXT_MODELS])
+        compare.cv_summary(v, m.name, folded) for m, v in zip(compare.TEXT_MODELS, validated)])
 
 
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
