@@ -24,25 +24,49 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mailshape.functions.structural import STRUCTURAL_COLUMNS
-from mailshape.operators.vectorize import MAX_TERMS, term_stages
+from mailshape.operators.vectorize import MAX_TERMS, grams_of, term_stages
+from mailshape.session import land
 
 # Fold number of the side that holds every row.
 ALL_ROWS = -1
 
 
+def _cells(terms: DataFrame, terms_col: str) -> DataFrame:
+    """``(fold, term, o, d)``: every occurrence counts towards n, every distinct term of a mail
+    towards df."""
+    cells = F.concat(
+        F.transform(terms_col, lambda t: F.struct(t.alias("term"), F.lit(1).alias("o"),
+                                                  F.lit(0).alias("d"))),
+        F.transform(F.array_distinct(terms_col), lambda t: F.struct(
+            t.alias("term"), F.lit(0).alias("o"), F.lit(1).alias("d"))))
+    return terms.select("fold", F.inline(cells))
+
+
+def _summed(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("fold", "term").agg(F.sum("o").alias("n"), F.sum("d").alias("df"))
+
+
 def fold_term_counts(folded: DataFrame, ngram_range: tuple[int, int] = (1, 2),
-                     stop_words: Sequence[str] | None = None) -> DataFrame:
-    """``(fold, term, n, df)`` from one pass over ``(fold, text)`` rows, combined map-side."""
+                     stop_words: Sequence[str] | None = None, size: int | None = None,
+                     k: int | None = None) -> DataFrame:
+    """``(fold, term, n, df)`` of ``(fold, text)`` rows, combined map-side.
+
+    With ``size`` and the number of folds ``k``, and n-grams from words on, n-grams are left out that
+    cannot be among the ``size`` most frequent terms of any side: an n-gram occurs no oftener than
+    each of its words, and a side's last count is no less than the ``size``-th of its words alone.
+    """
+    low, high = ngram_range
     terms = PipelineModel(stages=term_stages(ngram_range, stop_words)).transform(
         folded.select("fold", "text"))
-    # Every occurrence counts towards n, every distinct term of a mail towards df.
-    cells = F.concat(
-        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("o"),
-                                                F.lit(0).alias("d"))),
-        F.transform(F.array_distinct("terms"), lambda t: F.struct(
-            t.alias("term"), F.lit(0).alias("o"), F.lit(1).alias("d"))))
-    return terms.select("fold", F.inline(cells)).groupBy("fold", "term").agg(
-        F.sum("o").alias("n"), F.sum("d").alias("df"))
+    if size is None or low > 1 or high == 1:
+        return _summed(_cells(terms, "terms"))
+    words = land(_summed(_cells(terms, "_grams1")), "fold_words")
+    floor = min(side_bounds(words, k, size).values())
+    if not floor:
+        return _summed(_cells(terms, "terms"))
+    frequent = land(words.groupBy(F.col("term").alias("word")).agg(F.sum("n").alias("n")).filter(
+        F.col("n") >= floor).select("word"), "fold_frequent")
+    return words.unionByName(_summed(grams_of(_cells(terms, "terms"), frequent)))
 
 
 def fold_sizes(folded: DataFrame) -> DataFrame:
@@ -68,6 +92,18 @@ def side_counts(counts: DataFrame, k: int) -> DataFrame:
     return _side(totals, counts, k)
 
 
+def side_bounds(counts: DataFrame, k: int, size: int) -> dict[int, int]:
+    """Per side, a lower bound of the count of its ``size``-th term: the ``size``-th count among
+    the top terms overall. A side with fewer terms has none (0)."""
+    totals = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    top = totals.orderBy(F.desc("n"), "term").limit(size).select("term")
+    ranked = _side(totals.join(top, "term"), counts.join(top, "term"), k).select(
+        "held_out", "n", F.row_number().over(
+            Window.partitionBy("held_out").orderBy(F.desc("n"), "term")).alias("r"))
+    least = {r.held_out: r.n for r in ranked.filter(F.col("r") == size).collect()}
+    return {h: least.get(h, 0) for h in [ALL_ROWS, *range(k)]}
+
+
 def fold_vocabulary(counts: DataFrame, sizes: DataFrame, k: int,
                     size: int = MAX_TERMS) -> DataFrame:
     """``(held_out, rank, term, n, df, idf)``: the ``size`` most frequent terms of every side.
@@ -76,16 +112,9 @@ def fold_vocabulary(counts: DataFrame, sizes: DataFrame, k: int,
     """
     spark = counts.sparkSession
     totals = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-    top = totals.orderBy(F.desc("n"), "term").limit(size).select("term")
-    # Per side, the size-th count among the top terms overall is a lower bound of its last count:
-    # k + 1 numbers. A side with fewer terms has no bound.
-    ranked = _side(totals.join(top, "term"), counts.join(top, "term"), k).select(
-        "held_out", "n", F.row_number().over(
-            Window.partitionBy("held_out").orderBy(F.desc("n"), "term")).alias("r"))
-    least = {r.held_out: r.n for r in ranked.filter(F.col("r") == size).collect()}
-    floor = min(least.values()) if len(least) == k + 1 else 0
-    bounds = spark.createDataFrame([(h, least.get(h, 0)) for h in [ALL_ROWS, *range(k)]],
-                                   "held_out int, least long")
+    least = side_bounds(counts, k, size)
+    floor = min(least.values())
+    bounds = spark.createDataFrame(list(least.items()), "held_out int, least long")
     candidates = _side(totals.filter(F.col("n") >= floor), counts, k).join(
         F.broadcast(bounds), "held_out").filter(F.col("n") >= F.col("least"))
     order = Window.partitionBy("held_out").orderBy(F.desc("n"), "term")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from mailshape.functions.structural import STRUCTURAL_COLUMNS
 from mailshape.operators.scale import exploded, lookup_join
+from mailshape.session import land
 
 MAX_TERMS = 5000
 # Fixed pattern: words of two or more characters on cleaned (ASCII, lower-case) text.
@@ -68,12 +69,43 @@ def term_totals(df: DataFrame, terms_col: str = "terms") -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def top_vocabulary(df: DataFrame, size: int = MAX_TERMS, terms_col: str = "terms") -> DataFrame:
+def grams_of(df: DataFrame, frequent: DataFrame, term_col: str = "term") -> DataFrame:
+    """Rows whose term is an n-gram that begins and ends with a word of ``frequent`` (``word``)."""
+    grams = df.filter(F.contains(term_col, F.lit(" ")))
+    for end in (1, -1):
+        grams = grams.join(frequent, F.substring_index(term_col, " ", end) == F.col("word"), "left_semi")
+    return grams
+
+
+def candidate_totals(df: DataFrame, size: int, terms_col: str, words_col: str) -> DataFrame:
+    """:func:`term_totals` of all terms that can be among the ``size`` most frequent, where the terms
+    are the words and n-grams of them.
+
+    An n-gram occurs no oftener than each of its words, and the last count of the list is no less
+    than the ``size``-th of the words alone. So only n-grams of words with that count are counted,
+    and the many that occur once or twice are never shuffled.
+    """
+    words = land(term_totals(df, words_col), "words")
+    least = words.select("n").orderBy(F.desc("n")).limit(size).agg(
+        F.count("n").alias("words"), F.min("n").alias("n")).first()
+    if least.words < size:
+        return term_totals(df, terms_col)
+    words = words.filter(F.col("n") >= least.n)
+    frequent = land(words.select(F.col("term").alias("word")), "frequent")
+    grams = grams_of(exploded(df, [], terms_col, "term"), frequent)
+    return words.unionByName(grams.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+
+
+def top_vocabulary(df: DataFrame, size: int = MAX_TERMS, terms_col: str = "terms",
+                   words_col: str | None = None) -> DataFrame:
     """``(rank, term, n)`` of the ``size`` most frequent terms; equal counts are ranked by term.
 
-    Spark plans the sort with the limit as a top-k per task, so ``size`` rows per task meet.
+    ``words_col`` names the words, where the terms are these and n-grams of them. Spark plans the
+    sort with the limit as a top-k per task, so ``size`` rows per task meet.
     """
-    top = term_totals(df, terms_col).orderBy(F.desc("n"), "term").limit(size)
+    totals = term_totals(df, terms_col) if words_col is None else candidate_totals(
+        df, size, terms_col, words_col)
+    top = totals.orderBy(F.desc("n"), "term").limit(size)
     return top.select(
         F.row_number().over(Window.orderBy(F.desc("n"), "term")).alias("rank"), "term", "n")
 
@@ -81,12 +113,14 @@ def top_vocabulary(df: DataFrame, size: int = MAX_TERMS, terms_col: str = "terms
 class TopTermVectorizer(Estimator):
     """Fits a count vectoriser on :func:`top_vocabulary`. Its size bounds what the driver gets."""
 
-    def __init__(self, size: int = MAX_TERMS, input_col: str = "terms", output_col: str = "counts"):
+    def __init__(self, size: int = MAX_TERMS, input_col: str = "terms", output_col: str = "counts",
+                 words_col: str | None = None):
         super().__init__()
         self.size, self.input_col, self.output_col = size, input_col, output_col
+        self.words_col = words_col
 
     def _fit(self, dataset: DataFrame) -> CountVectorizerModel:
-        ranked = top_vocabulary(dataset, self.size, self.input_col).orderBy("rank")
+        ranked = top_vocabulary(dataset, self.size, self.input_col, self.words_col).orderBy("rank")
         vocabulary = [row.term for row in ranked.select("term").collect()]
         if not vocabulary:
             raise ValueError("empty vocabulary: no terms are left after stop-word removal")
@@ -132,10 +166,11 @@ def text_stages(vectorizer_type: str = "tfidf", ngram_range: tuple[int, int] = (
                 stop_words: Sequence[str] | None = None, size: int = MAX_TERMS) -> list:
     """Terms to ``text_features``: raw counts, or IDF-weighted counts of unit length."""
     stages = term_stages(ngram_range, stop_words)
+    words_col = "_grams1" if ngram_range[0] == 1 < ngram_range[1] else None
     if vectorizer_type == "count":
-        return [*stages, TopTermVectorizer(size, output_col="text_features")]
+        return [*stages, TopTermVectorizer(size, output_col="text_features", words_col=words_col)]
     if vectorizer_type == "tfidf":
-        return [*stages, TopTermVectorizer(size), SmoothIdf(),
+        return [*stages, TopTermVectorizer(size, words_col=words_col), SmoothIdf(),
                 Normalizer(p=2.0, inputCol="weighted", outputCol="text_features")]
     raise ValueError(f"unsupported vectorizer_type {vectorizer_type!r}: use 'tfidf' or 'count'")
 

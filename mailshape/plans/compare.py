@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mailshape.operators import evaluate, foldterms, models
 from mailshape.operators.folds import FOLDS, with_folds
-from mailshape.operators.vectorize import feature_columns
+from mailshape.operators.vectorize import MAX_TERMS, feature_columns
 from mailshape.session import land
 
 
@@ -106,7 +106,8 @@ def fold_tables(folded: DataFrame, ngram_ranges: Sequence[tuple[int, int]],
     """One pass over the text of :func:`landed_folds` for all models: counts per fold and term up
     to the longest n-gram, from which every side's vocabulary and weights follow."""
     high = max(h for _, h in ngram_ranges)
-    counts = land(foldterms.fold_term_counts(folded, (1, high), stop_words), "cv_terms")
+    size = MAX_TERMS if all(low == 1 for low, _ in ngram_ranges) else None
+    counts = land(foldterms.fold_term_counts(folded, (1, high), stop_words, size, k), "cv_terms")
     sizes = land(foldterms.fold_sizes(folded), "cv_sizes")
     scalers = land(foldterms.side_scalers(foldterms.fold_moments(folded), k), "cv_scalers")
     grams = F.size(F.split("term", " "))

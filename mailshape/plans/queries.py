@@ -197,6 +197,8 @@ def top_terms(spark: SparkSession, folder: str) -> DataFrame:
 def _terms(spark: SparkSession, folder: str, ngram_range: tuple[int, int]) -> DataFrame:
     stages = Pipeline(stages=vectorize.term_stages(ngram_range, profile.COMMON_WORDS))
     df = prepared_all(spark, folder).select("mail_id", "text")
+    if ngram_range != (1, 1):  # words are counted first, n-grams in a second pass
+        df = land(df, "prepared")
     return stages.fit(df).transform(df)
 
 
@@ -205,16 +207,22 @@ def vocab_unigram(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vocab_bigram(spark: SparkSession, folder: str) -> DataFrame:
-    return vectorize.top_vocabulary(_terms(spark, folder, (1, 2)))
+    return vectorize.top_vocabulary(_terms(spark, folder, (1, 2)), words_col="_grams1")
 
 
 def _matrix(spark: SparkSession, folder: str, vectorizer_type: str,
             ngram_range: tuple[int, int]) -> DataFrame:
-    df = prepared_all(spark, folder).select("mail_id", "text")
-    model = Pipeline(stages=vectorize.text_stages(
-        vectorizer_type, ngram_range, profile.COMMON_WORDS)).fit(df)
-    vocabulary = next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
-    return rounded(vectorize.matrix_cells(model.transform(df), "text_features", vocabulary))
+    # Cleaned once, and counted into vectors once: weights and norms start from these.
+    df = land(prepared_all(spark, folder).select("mail_id", "text"), "prepared")
+    stages = vectorize.text_stages(vectorizer_type, ngram_range, profile.COMMON_WORDS)
+    counting = next(i for i, s in enumerate(stages)
+                    if isinstance(s, vectorize.TopTermVectorizer)) + 1
+    counted = Pipeline(stages=stages[:counting]).fit(df)
+    rows = counted.transform(df)
+    if stages[counting:]:
+        rows = land(rows.select("mail_id", stages[counting - 1].output_col), "counts")
+        rows = Pipeline(stages=stages[counting:]).fit(rows).transform(rows)
+    return rounded(vectorize.matrix_cells(rows, "text_features", counted.stages[-1].vocabulary))
 
 
 def count_matrix(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,7 +264,8 @@ def fold_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     """Top terms and their weights on every training side of the folds, from one pass of counts."""
     train = prepared_corpora(spark, folder)[0].select("mail_id", "label", "text")
     folded = land(folds.with_folds(train), "vocabulary_folds")
-    counts = land(foldterms.fold_term_counts(folded, (1, 2), profile.COMMON_WORDS), "fold_terms")
+    counts = land(foldterms.fold_term_counts(
+        folded, (1, 2), profile.COMMON_WORDS, vectorize.MAX_TERMS, folds.FOLDS), "fold_terms")
     vocabulary = foldterms.fold_vocabulary(counts, foldterms.fold_sizes(folded), folds.FOLDS)
     return vocabulary.withColumn("idf", r6("idf"))
 

@@ -50,3 +50,28 @@ def test_cross_validation_from_tables_equals_refits(spark, folded, settings):
     whole = compare.pipeline_for(settings).fit(folded)
     same = lambda m: sorted(map(tuple, models.predict(m, folded).select("mail_id", "prediction").collect()))
     assert same(validated.model) == same(whole)
+
+
+@pytest.mark.parametrize("size", [1, 4, 9, 10_000])
+def test_left_out_grams_are_on_no_list(spark, folded, size):
+    every = foldterms.fold_term_counts(folded, (1, 2))
+    some = foldterms.fold_term_counts(folded, (1, 2), None, size, 5)
+    sizes = foldterms.fold_sizes(folded)
+    lists = [sorted(map(tuple, foldterms.fold_vocabulary(c, sizes, 5, size).collect()))
+             for c in (every, some)]
+    assert lists[0] == lists[1]
+    assert some.exceptAll(every).isEmpty()
+    assert (some.count() < every.count()) == (size < 9)
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 60, 10_000])
+def test_vocabulary_counts_only_grams_that_can_be_on_it(spark, size):
+    rows = [("aa bb aa bb cc",), ("aa bb dd ee",), ("ee ff",), ("gg hh ii jj",), ("",)]
+    texts = spark.createDataFrame(rows, "text string").union(spark.createDataFrame(
+        [("bb aa " * 3 + f"x{i % 3} y{i}",) for i in range(12)], "text string"))
+    terms = Pipeline(stages=vectorize.term_stages((1, 3), [])).fit(texts).transform(texts)
+    want = vectorize.top_vocabulary(terms, size)
+    got = vectorize.top_vocabulary(terms, size, words_col="_grams1")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    counted = vectorize.candidate_totals(terms, size, "terms", "_grams1").count()
+    assert (counted < vectorize.term_totals(terms).count()) == (size < 7)
