@@ -24,7 +24,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mailshape.functions.structural import STRUCTURAL_COLUMNS
-from mailshape.operators.vectorize import MAX_TERMS, grams_of, term_stages
+from mailshape.operators.scale import exploded
+from mailshape.operators.vectorize import MAX_TERMS, between_words, term_stages
 from mailshape.session import land
 
 # Fold number of the side that holds every row.
@@ -60,13 +61,14 @@ def fold_term_counts(folded: DataFrame, ngram_range: tuple[int, int] = (1, 2),
         folded.select("fold", "text"))
     if size is None or low > 1 or high == 1:
         return _summed(_cells(terms, "terms"))
-    words = land(_summed(_cells(terms, "_grams1")), "fold_words")
+    words = land(exploded(terms, ["fold"], "_grams1", "term").groupBy("fold", "term").agg(
+        F.count(F.lit(1)).alias("n")), "fold_words")
     floor = min(side_bounds(words, k, size).values())
     if not floor:
         return _summed(_cells(terms, "terms"))
     frequent = land(words.groupBy(F.col("term").alias("word")).agg(F.sum("n").alias("n")).filter(
         F.col("n") >= floor).select("word"), "fold_frequent")
-    return words.unionByName(_summed(grams_of(_cells(terms, "terms"), frequent)))
+    return _summed(between_words(_cells(terms, "terms"), frequent))
 
 
 def fold_sizes(folded: DataFrame) -> DataFrame:
@@ -93,10 +95,12 @@ def side_counts(counts: DataFrame, k: int) -> DataFrame:
 
 
 def side_bounds(counts: DataFrame, k: int, size: int) -> dict[int, int]:
-    """Per side, a lower bound of the count of its ``size``-th term: the ``size``-th count among
-    the top terms overall. A side with fewer terms has none (0)."""
+    """Per side, a lower bound of the count of its ``size``-th term: the ``size``-th count among the
+    top terms overall. Twice as many of these are taken, for some may occur in one fold only and so
+    be missing on a side. A side with fewer terms has none (0)."""
+    counts = counts.select("fold", "term", "n", F.lit(0).alias("df"))
     totals = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-    top = totals.orderBy(F.desc("n"), "term").limit(size).select("term")
+    top = totals.orderBy(F.desc("n"), "term").limit(2 * size).select("term")
     ranked = _side(totals.join(top, "term"), counts.join(top, "term"), k).select(
         "held_out", "n", F.row_number().over(
             Window.partitionBy("held_out").orderBy(F.desc("n"), "term")).alias("r"))

@@ -69,12 +69,11 @@ def term_totals(df: DataFrame, terms_col: str = "terms") -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def grams_of(df: DataFrame, frequent: DataFrame, term_col: str = "term") -> DataFrame:
-    """Rows whose term is an n-gram that begins and ends with a word of ``frequent`` (``word``)."""
-    grams = df.filter(F.contains(term_col, F.lit(" ")))
+def between_words(df: DataFrame, frequent: DataFrame, term_col: str = "term") -> DataFrame:
+    """Rows whose term, a word or n-gram, begins and ends with a word of ``frequent`` (``word``)."""
     for end in (1, -1):
-        grams = grams.join(frequent, F.substring_index(term_col, " ", end) == F.col("word"), "left_semi")
-    return grams
+        df = df.join(frequent, F.substring_index(term_col, " ", end) == F.col("word"), "left_semi")
+    return df
 
 
 def candidate_totals(df: DataFrame, size: int, terms_col: str, words_col: str) -> DataFrame:
@@ -92,7 +91,8 @@ def candidate_totals(df: DataFrame, size: int, terms_col: str, words_col: str) -
         return term_totals(df, terms_col)
     words = words.filter(F.col("n") >= least.n)
     frequent = land(words.select(F.col("term").alias("word")), "frequent")
-    grams = grams_of(exploded(df, [], terms_col, "term"), frequent)
+    grams = between_words(exploded(df, [], terms_col, "term").filter(
+        F.contains("term", F.lit(" "))), frequent)
     return words.unionByName(grams.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
