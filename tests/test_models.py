@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from mailshape.operators import folds, models, vectorize
@@ -187,3 +187,40 @@ def test_rejections_and_tags(train):
         vectorize.CentroidVectorizer(min_count=10**6).fit(train.selectExpr("split(text, ' ') AS tokens"))
     assert compare.model_tag("TFIDF Unigram (1+2)") == "tfidf_unigram_12"
     assert vectorize.feature_columns(False) == ["text"] and len(vectorize.feature_columns()) == 22
+
+
+def test_solver_tasks_go_by_cells(spark, train, monkeypatch):
+    seen = []
+
+    class Solver:
+        def __init__(self, **settings):
+            pass
+
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+
+    monkeypatch.setattr(models, "LinearSVC", Solver)
+    rows = train.select("label", F.array(F.lit(1.0), F.col("label") * 1.0).alias("x"))
+    many = rows.withColumn("features", array_to_vector("x")).repartition(16)
+    models.RidgeClassifier("svm").fit(many)
+    monkeypatch.setattr(models, "CELLS_PER_TASK", 40)
+    models.RidgeClassifier("svm").fit(many)
+    assert seen == [(1, 80), (4, 80)]
+
+
+def test_embedding_partitions_grow_with_the_tokens(spark, monkeypatch):
+    seen = []
+
+    class Trainer:
+        def __init__(self, numPartitions, **settings):
+            seen.append(numPartitions)
+
+        def fit(self, tokens):
+            raise RuntimeError("not trained here")
+
+    monkeypatch.setattr(vectorize, "Word2Vec", Trainer)
+    tokens = spark.createDataFrame([(["aa", "bb"] * 10,)] * 5, "tokens array<string>")
+    for settings in ({}, {"partition_tokens": 9}):
+        with pytest.raises(RuntimeError):
+            vectorize.CentroidVectorizer(**settings).fit(tokens)
+    assert seen == [vectorize.TRAINING_PARTITIONS, 12]
