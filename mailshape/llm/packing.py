@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from mailshape.llm.kk import windows
+from mailshape.llm.memos import alone
 
 CAPACITY = 2048
 BLOCK_DOCUMENTS = 1024
@@ -50,6 +51,9 @@ class WordEncoder:
         self._words: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
 
+    def clear(self) -> None:
+        self._words, self._parts = {}, {}
+
     def _encoded(self, texts: list[str]) -> list[bytes]:
         # One call for all: batching saves most of the cost of a call.
         made = self._tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -112,7 +116,7 @@ def encoder(path: str) -> WordEncoder:
     """One encoder per Python worker and file; workers are used again from task to task."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return alone(_encoders[path])
 
 
 def cut(tokens: int, capacity: int) -> list[int]:

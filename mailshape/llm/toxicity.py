@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mailshape.llm.memos import alone
 from mailshape.session import land
 
 FEATURE_BITS = 18
@@ -207,7 +208,7 @@ def severity(model: OrdinalModel, text: Column) -> Column:
         if chosen not in _memos:
             _memos.clear()
             _memos[chosen] = FeatureMemo(chosen)
-        memo = _memos[chosen]
+        memo = alone(_memos[chosen])
         margins = np.array([sum(weights[f] for f in memo.of(t)) for t in texts], dtype=float)
         above = model.exceedance(margins)
         return pd.DataFrame({"expected": above.sum(axis=1), "grade": (above > 0.5).sum(axis=1),
