@@ -16,13 +16,16 @@ def _merged(a, b, parts: int, pairs: list[tuple[int, int]]):
     """
     (a_sums, a_nodes), (b_sums, b_nodes) = a, b
     both = max(0, len(a_sums) + len(b_sums) - parts)
-    cut_a, cut_b = len(a_sums) - both, len(b_sums) - both
-    first = len(pairs)
-    pairs.extend(zip(a_nodes[cut_a:].tolist(), b_nodes[cut_b:][::-1].tolist()))
-    sums = np.concatenate([a_sums[:cut_a], b_sums[:cut_b], a_sums[cut_a:] + b_sums[cut_b:][::-1]])
-    nodes = np.concatenate([a_nodes[:cut_a], b_nodes[:cut_b],
-                            np.arange(first, first + both, dtype=np.int64)])
-    order = np.argsort(-sums, kind="stable")
+    if both:
+        cut_a, cut_b = len(a_sums) - both, len(b_sums) - both
+        first = len(pairs)
+        pairs.extend(zip(a_nodes[cut_a:].tolist(), b_nodes[cut_b:][::-1].tolist()))
+        sums = np.concatenate([a_sums[:cut_a], b_sums[:cut_b], a_sums[cut_a:] + b_sums[cut_b:][::-1]])
+        nodes = np.concatenate([a_nodes[:cut_a], b_nodes[:cut_b],
+                                np.arange(first, first + both, dtype=np.int64)])
+    else:
+        sums, nodes = np.concatenate([a_sums, b_sums]), np.concatenate([a_nodes, b_nodes])
+    order = (-sums).argsort(kind="stable")
     return sums[order], nodes[order]
 
 

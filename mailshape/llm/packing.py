@@ -34,7 +34,9 @@ _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Other words outside these letters go to the tokenizer as they are.
 _PLAIN = regex.compile(r"[\x21-\x7e¡-¬®-įı-ňŊ-ž]+")
-_WORDS_MEMO, _PARTS_MEMO = 1_000_000, 600_000
+_TEXTS_AT_ONCE = 256
+# Words and parts held by a worker: about 150 MB when full.
+_WORDS_MEMO, _PARTS_MEMO = 500_000, 300_000
 
 
 class WordEncoder:
@@ -45,9 +47,16 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._mark, = self._tokenizer.encode("!", add_special_tokens=False).ids
+        # The vocabulary's own model, for lower-case runs of letters that are split already.
+        self._letters = Tokenizer(self._tokenizer.model)
+        self._letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x17F)
+                       if chr(c).isalpha()}
         self._words: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
 
@@ -56,38 +65,55 @@ class WordEncoder:
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         # One call for all: batching saves most of the cost of a call.
-        made = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        made = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [_little_endian(m.ids) for m in made]
 
-    @staticmethod
-    def _split(text: str) -> list[str] | None:
-        """Parts of a word, or None if only the tokenizer is sure of it."""
-        head = text.rstrip(_MARKS)
-        if head.isalpha() and (head.isascii() or (
-                max(head) <= "\u017e" and "\u0130" not in head and "\u0149" not in head)):
-            head = head.lower()
-            return [head, text[len(head):]] if len(head) < len(text) else [head]
-        return _SPLIT.findall(text.lower()) if _PLAIN.fullmatch(text) else None
+    def _encoded_heads(self, heads: list[str]) -> list[bytes]:
+        """Ids of lower-case runs of letters, given as the characters that the model has for their
+        bytes. They are one text with a mark after each: no run of letters has that mark's id, so the
+        ids between two marks are those of one run."""
+        ids = np.array(self._letters.encode_batch_fast(
+            [" ! ".join([*heads, ""])], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(ids == self._mark).tolist()
+        raw = ids.tobytes()
+        return [raw[4 * first:4 * end] for first, end in zip([0, *[e + 1 for e in ends]], ends)]
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        split, whole, wanted = {}, [], {}
-        for word in words:
-            parts = self._split(word.decode())
-            if parts is None:
-                whole.append(word)
-            else:
-                split[word] = parts
-                for p in parts:
-                    if p not in self._parts:
-                        wanted[p] = None
-        if len(self._parts) + len(wanted) > _PARTS_MEMO:
+        if len(self._parts) > _PARTS_MEMO:
             self._parts = {}
-            wanted = {p: None for parts in split.values() for p in parts}
-        self._parts.update(zip(wanted, self._encoded(list(wanted))))
         known = self._parts
-        found = {w: known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
-                 for w, parts in split.items()}
-        found.update(zip(whole, self._encoded([w.decode() for w in whole])))
+        texts = b"\n".join(words).decode().split("\n")
+        heads = [t.rstrip(_MARKS) for t in texts]
+        lower = "\n".join(heads).lower().split("\n")
+        plain, odd, whole = [], [], []
+        for i, head in enumerate(heads):
+            if head.isalpha() and (head.isascii() or (
+                    max(head) <= "\u017e" and "\u0130" not in head and "\u0149" not in head)):
+                plain.append(i)
+            elif _PLAIN.fullmatch(texts[i]):
+                odd.append(i)
+            else:
+                whole.append(i)
+        new = set([lower[i] for i in plain]).difference(known)
+        ascii_only = [low for low in new if low.isascii()]
+        if ascii_only:
+            known.update(zip(ascii_only, self._encoded_heads(ascii_only)))
+        other = [low for low in new if not low.isascii()]
+        if other:
+            known.update(zip(other, self._encoded_heads(
+                "\n".join(other).translate(self._bytes).split("\n"))))
+        # What is left of a word is one run of marks.
+        tails = [texts[i][len(heads[i]):] for i in plain]
+        split = [_SPLIT.findall(texts[i].lower()) for i in odd]
+        new = list(set(tails).union(*split).difference(known, ("",)))
+        if new:
+            known.update(zip(new, self._encoded(new)))
+        found = {words[i]: known[lower[i]] + known[tail] if tail else known[lower[i]]
+                 for i, tail in zip(plain, tails)}
+        found.update([(words[i], b"".join([known[p] for p in parts]))
+                      for i, parts in zip(odd, split)])
+        if whole:
+            found.update(zip([words[i] for i in whole], self._encoded([texts[i] for i in whole])))
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -97,7 +123,7 @@ class WordEncoder:
         if len(self._words) + len(new) > _WORDS_MEMO:
             self._words, new = {}, every
         if new:
-            self._words.update(self._learn(sorted(new)))
+            self._words.update(self._learn(list(new)))
         known = self._words
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
@@ -201,8 +227,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
 
         for batch in batches:
             id_arrow = batch.schema.field(0).type
-            for first in range(0, batch.num_rows, 128):
-                part = batch.slice(first, 128)
+            for first in range(0, batch.num_rows, _TEXTS_AT_ONCE):
+                part = batch.slice(first, _TEXTS_AT_ONCE)
                 ids += part.column(0).to_pylist()
                 kept += [t + end for t in words.encode(part.column(1).to_pylist())]
                 while len(ids) >= block_documents:

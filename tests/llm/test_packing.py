@@ -91,6 +91,24 @@ def test_encoder_with_full_memos(monkeypatch):
         assert [np.frombuffer(m, "<u4").tolist() + [1] for m in made] == token_ids(texts)
 
 
+def test_new_words_take_one_call_of_the_tokenizer(monkeypatch):
+    encoder, calls = packing.WordEncoder(PATH), []
+    monkeypatch.setattr(encoder, "_encoded", lambda texts, one=encoder._encoded: (
+        calls.append(len(texts)), one(texts))[1])
+    letters = [chr(c) for c in range(0x80, 0x17F) if chr(c).isalpha()]
+    texts = [" ".join(f"w{c}ord{i}"[:6] for i, c in enumerate(letters)), " ".join(letters),
+             " ".join(f"{c}a{c}" * 3 for c in letters), "plain words only! and, more."]
+    assert [np.frombuffer(m, "<u4").tolist() + [1] for m in encoder.encode(texts)] == token_ids(texts)
+    calls.clear()
+    encoder.encode(["a thousand unseen runs of letters élan straße", "letters alone"])
+    assert not calls
+
+
+def test_memos_stay_small():
+    # A worker of the pipeline holds its other stages' models too: 1,000,000 words were too many.
+    assert packing._WORDS_MEMO <= 500_000 and packing._PARTS_MEMO <= 300_000
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "word " * 9000, "x"), (4, "a b c", "x"),
             (None, "null id", "x")]
