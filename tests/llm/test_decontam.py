@@ -244,3 +244,64 @@ def test_one_memo_at_a_time():
     one, two = {"a": 1}, {"b": 2}
     assert alone(one) is one and alone(one) == {"a": 1}
     assert alone(two) == {"b": 2} and one == {}
+
+
+def test_windows_without_rare_words_shape_the_latent_space(spark, monkeypatch):
+    seen = []
+
+    def basis(passages, width, *_):
+        seen.extend(tuple(r.places) for r in passages.collect())
+        return np.zeros((width, 1))
+
+    monkeypatch.setattr(decontam, "latent_basis", basis)
+    items = [(i, f"the of rare{i} seldom{i}") for i in range(20)]
+    # A common word at three places, else words outside the vocabulary: six windows, five of which hold it.
+    text = " ".join("the" if k in (0, 40, 90) else f"other{k}" for k in range(100))
+    docs = spark.createDataFrame([(d, text, "x") for d in range(50)], DOCS)
+    index = decontam.build_index(items, docs)
+    the = index.vocabulary["the"]
+    assert sorted(seen) == sorted([(the,)] * 5 * 50 + [tuple(sorted(index.vocabulary[w] for w in t.split()))
+                                                       for _, t in items])
+
+
+def test_windows_of_a_batch():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(-1, 6, n).astype(np.int32) for n in (0, 1, 31, 32, 33, 48, 49, 100, 0, 7)]
+    words, counts = decontam.window_words(texts)
+    wanted = [t[s:s + decontam.WINDOW] for t in texts if len(t) for s in decontam.window_starts(len(t))]
+    wanted = [w[w >= 0] for w in wanted]
+    assert counts.tolist() == [len(w) for w in wanted]
+    assert words.tolist() == np.concatenate(wanted).tolist()
+    assert [x.tolist() for x in decontam.window_words([])] == [[], []]
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_sums_by_pair_with_words_that_come_twice(monkeypatch, dense):
+    monkeypatch.setattr(decontam, "_DENSE_PAIRS", 10 ** 6 if dense else 0)
+    monkeypatch.setattr(decontam, "_PAIRS_AT_ONCE", 20)
+    rng = np.random.default_rng(2)
+    width, rows = 9, [(rng.integers(0, 9, (30, n)), rng.normal(size=(30, n))) for n in (1, 2, 5, 12)]
+    matrix, pairs = np.zeros((0, width)), decontam._PairSums(width)
+    for places, weights in rows:
+        pairs.add(places, weights)
+        part = np.zeros((30, width))
+        np.add.at(part, (np.arange(30)[:, None], places), weights)
+        matrix = np.concatenate([matrix, part])
+    at, sums = pairs.result()
+    one, two = np.triu_indices(width)
+    assert (pairs.first[one] + two).tolist() == list(range(45))
+    found = np.zeros(45)
+    found[at] = sums
+    assert found == pytest.approx((matrix.T @ matrix)[one, two])
+    assert (np.diff(at) > 0).all()
+
+
+def test_basis_of_blocks_of_words(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "_PAIRS_A_ROW", 60)  # read on the driver, where blocks are made
+    rng = np.random.default_rng(3)
+    matrix = rng.normal(size=(50, 3)) @ rng.normal(size=(3, 30))
+    frame = spark.createDataFrame([([*range(30)][::-1], r[::-1].tolist()) for r in matrix],
+                                  "places array<int>, weights array<double>").repartition(3)
+    basis = decontam.latent_basis(frame, 30, dimensions=3)
+    right = np.linalg.svd(matrix, full_matrices=False)[2][:3]
+    assert np.abs(right @ basis @ basis.T - right).max() < 1e-6
