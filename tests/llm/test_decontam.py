@@ -305,3 +305,32 @@ def test_basis_of_blocks_of_words(spark, monkeypatch):
     basis = decontam.latent_basis(frame, 30, dimensions=3)
     right = np.linalg.svd(matrix, full_matrices=False)[2][:3]
     assert np.abs(right @ basis @ basis.T - right).max() < 1e-6
+
+
+def test_every_window_is_compared_with_every_item(case):
+    items, rows, _ = case
+    words = [decontam.normal_words(t) for _, t in items]
+    vocabulary = {w: k for k, w in enumerate(sorted({w for ws in words for w in ws}))}
+    places = lambda ws: np.array([vocabulary[w] for w in ws], dtype=np.int64)
+    rng = np.random.default_rng(1)
+    index = decontam.LatentIndex(
+        [i for i, _ in items], [places(ws) for ws in words],
+        [places(decontam.answer_words(t)) for _, t in items], vocabulary,
+        1 + rng.random(len(vocabulary)), rng.normal(size=(len(vocabulary), 8))).prepare()
+    seen, sums = [], index._sums
+    index._sums = lambda steps: seen.append(len(steps) - 1) or sums(steps)
+    reader, without = decontam._WordIds(vocabulary), 0
+    for _, text, _ in rows:
+        ids = reader.of(text)
+        seen.clear()
+        index.hits(ids)
+        starts = range(0, max(1, 16 * (-(-len(ids) // 16) - 1)), 16)
+        assert sum(seen) == len(starts)
+        without += not index.reachable(ids)
+        near = set()
+        for s in starts:
+            window = index.by_place[ids[s:s + 32]].sum(axis=0)
+            cosines = index.vectors @ window / max(np.linalg.norm(window), 1e-12)
+            near |= {(int(index.owners[k]), s) for k in np.flatnonzero(cosines > 0.401)}
+        assert near <= set(zip(*(x.tolist() for x in index.candidates(ids)[:2])))
+    assert without > 50
