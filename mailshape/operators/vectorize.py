@@ -9,6 +9,7 @@ transformer of this module over built-in ones; no row ever goes through Python.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.feature import (
@@ -20,7 +21,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mailshape.functions.structural import STRUCTURAL_COLUMNS
-from mailshape.operators.scale import exploded, lookup_join
+from mailshape.operators.scale import exploded
 from mailshape.session import land
 
 MAX_TERMS = 5000
@@ -36,6 +37,8 @@ TRAINING_PARTITIONS = 4
 PARTITION_TOKENS = 2_000_000
 # Longer texts are windows of this many tokens: no word is lost, contexts across a cut are.
 SENTENCE_LIMIT = 10_000
+# Bytes of the words and vectors of a block that a task holds, about.
+VECTOR_BLOCK = 64_000_000
 # The trainer keeps two float vectors per word on the driver and in every task, so the rows it learns
 # from are bounded, about, by a hash of the tokens; None takes all.
 FIT_ROWS: int | None = None
@@ -269,15 +272,21 @@ def centroids(df: DataFrame, word_vectors: DataFrame, size: int, text_col: str =
               key: str = "mail_id") -> DataFrame:
     """Centroids from a given table ``(word, vector)``: ``(key, n_known, centroid)`` for every mail.
 
-    The dimensions are summed as ``size`` columns, not as exploded rows. The repeats of a word within
-    a mail are counted before they go through the join, which carries no hint.
+    The dimensions are summed as ``size`` columns, not as exploded rows, and in the task that reads the
+    mail: one row of sums per mail and block of the vectors is shuffled. The blocks are of about
+    ``VECTOR_BLOCK`` bytes each, so they may be broadcast however many words there are; the texts are
+    read once per block.
     """
+    rows, held = word_vectors.agg(F.count(F.lit(1)), F.sum(
+        F.octet_length("word") + 8 * F.size("vector"))).first()
+    blocks = max(1, -(-((held or 0) + 64 * rows) // VECTOR_BLOCK))
     tokens = df.select(key, F.explode(F.split(text_col, " ")).alias("word"))
-    words = tokens.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-    sums = lookup_join(words, word_vectors, "word").groupBy(key).agg(
-        F.sum("n").alias("n_known"),
-        *[F.sum(F.col("n") * F.col("vector")[i].cast("double")).alias(f"_d{i}")
-          for i in range(size)])
+    found = reduce(DataFrame.unionAll, [tokens.join(F.broadcast(word_vectors.filter(
+        F.pmod(F.xxhash64("word"), F.lit(blocks)) == b)), "word").select(key, "vector")
+        for b in range(blocks)])
+    sums = found.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_known"),
+        *[F.sum(F.col("vector")[i].cast("double")).alias(f"_d{i}") for i in range(size)])
     mean = F.array(*[F.coalesce(F.col(f"_d{i}") / F.col("n_known"), F.lit(0.0))
                      for i in range(size)])
     return df.select(key).join(sums, key, "left").select(

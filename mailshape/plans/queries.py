@@ -201,10 +201,14 @@ def top_terms(spark: SparkSession, folder: str) -> DataFrame:
 # -- vectors --------------------------------------------------------------------------------------
 
 def _terms(spark: SparkSession, folder: str, ngram_range: tuple[int, int]) -> DataFrame:
-    stages = Pipeline(stages=vectorize.term_stages(ngram_range, profile.COMMON_WORDS))
     df = prepared_all(spark, folder).select("mail_id", "text")
     if ngram_range != (1, 1):  # words are counted first, n-grams in a second pass
         df = land(df, "prepared")
+    return _terms_of(df, ngram_range)
+
+
+def _terms_of(df: DataFrame, ngram_range: tuple[int, int]) -> DataFrame:
+    stages = Pipeline(stages=vectorize.term_stages(ngram_range, profile.COMMON_WORDS))
     return stages.fit(df).transform(df)
 
 
@@ -249,10 +253,11 @@ def scaled_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def doc_centroid(spark: SparkSession, folder: str) -> DataFrame:
-    mails = prepared_all(spark, folder).select("mail_id", "text")
+    # Cleaned once: the words are counted and the vectors summed from these.
+    mails = land(prepared_all(spark, folder).select("mail_id", "text"), "prepared")
     given = tables.table(spark, folder, "embeddings").withColumn("rank", F.col("vec_id") + 1)
     vectors = land(
-        vectorize.top_vocabulary(_terms(spark, folder, (1, 1)), size=given.count())
+        vectorize.top_vocabulary(_terms_of(mails, (1, 1)), size=given.count())
         .join(given, "rank").select(F.col("term").alias("word"), F.col("embedding").alias("vector")),
         "word_vectors")
     size = vectors.select(F.max(F.size("vector"))).first()[0]

@@ -76,6 +76,31 @@ def test_centroids_average_known_words_only(spark):
     assert [(r.n_known, r.centroid) for r in rows] == [(3, [1.0, 2.0]), (0, [0.0, 0.0]), (0, [0.0, 0.0])]
 
 
+def test_centroids_in_blocks_shuffle_sums_only(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(40)]
+    table = {w: rng.normal(size=3).tolist() for w in words[:30]}
+    vectors = spark.createDataFrame(list(table.items()), "word string, vector array<double>")
+    texts = [(i, " ".join(rng.choice(words, 50))) for i in range(20)]
+    # Mails of one key share their sums, those without a key have none.
+    rows = [*texts, (3, "w1 w1"), (None, "w2"), (30, None), (31, "w39")]
+    df = spark.createDataFrame(rows, "mail_id int, text string").repartition(4)
+    wanted = []
+    for key, _ in rows:
+        known = [np.array(table[w]) for k, t in rows if k == key and key is not None
+                 for w in (t or "").split(" ") if w in table]
+        wanted.append((key, len(known), np.mean(known, axis=0).tolist() if known else [0.0] * 3))
+    for block in (vectorize.VECTOR_BLOCK, 700):
+        monkeypatch.setattr(vectorize, "VECTOR_BLOCK", block)
+        made = vectorize.centroids(df, vectors, 3)
+        found = sorted(((r.mail_id, r.n_known, r.centroid) for r in made.collect()), key=str)
+        for (key, n, mean), (key_, n_, mean_) in zip(found, sorted(wanted, key=str), strict=True):
+            assert (key, n) == (key_, n_) and mean == pytest.approx(mean_)
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate [mail_id" in plan and ", word#" not in "".join(
+            line for line in plan.splitlines() if "Aggregate [" in line)
+
+
 def test_rows_without_a_label_are_refused_on_both_paths(spark):
     df = spark.createDataFrame([(1, "aa bb", 1), (2, "cc dd", 0), (3, "ee ff", None)],
                                "mail_id bigint, text string, label int")
