@@ -83,3 +83,15 @@ def test_a_word_of_one_fold_does_not_undo_the_bounds(spark):
     counts = spark.createDataFrame(rows, "fold int, term string, n bigint")
     bounds = foldterms.side_bounds(counts, 5, 3)
     assert bounds == {foldterms.ALL_ROWS: 40, 0: 28, 1: 32, 2: 32, 3: 32, 4: 32}
+
+
+def test_vectors_of_every_side_come_from_listed_terms(spark, folded):
+    stop = ["aa"]
+    tables = compare.fold_tables(folded, [(1, 1), (1, 2)], stop)
+    assert "text" not in tables.terms.columns and tables.terms.columns[-1] == "fold"
+    for ngram_range, side in (((1, 1), 0), ((1, 2), foldterms.ALL_ROWS)):
+        model = foldterms.side_text_model(tables.vocabulary[ngram_range], side, "tfidf", ngram_range,
+                                          stop, foldterms.side_moments(tables.scalers, side))
+        wanted = {r.mail_id: r.features for r in model.transform(folded).collect()}
+        found = {r.mail_id: r.features for r in compare.on_terms(model).transform(tables.terms).collect()}
+        assert found == wanted and found
